@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartsift.llm import decontaminate, mixing, simhash, toxicity
+from chartsift.llm import decontaminate, mixing, pii, simhash, toxicity
 from chartsift.llm.common import shared_path, table
 
 
@@ -28,6 +28,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; all documents stay."""
+    return pii.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks; ``copy`` numbers a document's copies."""
     return mixing.emit(docs)
@@ -37,6 +42,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("near_dedup", drop_near_duplicates),
     ("decontamination", drop_leaks),
+    ("pii", redact_pii),
     ("mixing", mix_sources),
 ]
 
