@@ -1,9 +1,12 @@
 """Registered queries and their oracles."""
 
+from . import numeric_queries, rule_queries, shape_queries, text_queries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
