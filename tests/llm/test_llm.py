@@ -210,7 +210,7 @@ def test_leaks_bear_substitutions_and_spare_clean_texts(spark, seeds):
     ]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.start_word, r.n_words, r.n_match) for r in decontaminate.leaks(docs_of(spark, rows), bench, broadcast_seeds=seeds).collect()}
-    assert got == {(1, 0): (50, 30, 30), (2, 1): (1, 30, 26), (3, 2): (0, 16, 16)}
+    assert got == {(1, 0): (50, 30, 30), (2, 1): (1, 27, 24), (3, 2): (0, 16, 16)}  # the last change costs more than the two words after it
     kept = decontaminate.drop_leaks(docs_of(spark, rows), bench)
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 7, 8]
     assert decontaminate.leaks(docs_of(spark, rows), bench.limit(0)).count() == 0
