@@ -22,7 +22,7 @@ def inventory(rows: DataFrame) -> DataFrame:
 def group_split(sizes: dict[str, int], ratios=RATIOS, seed: int = 42, pinned=PINNED) -> dict[str, str]:
     """Whole families to sides: pinned ones first, then by size (ties by a seeded draw) to the side that lacks most.
 
-    An empty side takes the smallest family of the fullest one that can spare it; val and test need ``MIN_FAMILIES``
+    An empty side takes the smallest family (not a pinned one) of the side with most families; val and test need ``MIN_FAMILIES``
     families and ``MIN_IMAGES`` images, or it is an error. Families are few (an aggregate), so this runs on the driver.
     """
     if len(sizes) < len(SIDES):
@@ -37,10 +37,12 @@ def group_split(sizes: dict[str, int], ratios=RATIOS, seed: int = 42, pinned=PIN
         have[side] += sizes[f]
     for s in SIDES:
         if s not in out.values():
-            movable = [f for f in out if f not in pinned and sum(x == out[f] for x in out.values()) > 1]
-            if not movable:
+            mine = {x: [f for f in out if out[f] == x] for x in SIDES}
+            fullest = sorted(SIDES, key=lambda x: (-len(mine[x]), -sum(sizes[f] for f in mine[x])))[0]
+            spare = sorted((f for f in mine[fullest] if f not in pinned), key=lambda f: (sizes[f], f))
+            if not spare:
                 raise ValueError(f"no family left for {s}")
-            out[min(movable, key=lambda f: (sizes[f], tie[f]))] = s
+            out[spare[0]] = s
     for s in SIDES[1:]:
         own = [f for f in out if out[f] == s]
         if len(own) < MIN_FAMILIES or sum(sizes[f] for f in own) < MIN_IMAGES:

@@ -81,11 +81,12 @@ def roundtrip(spark, sf_dir):
 
 
 @query("shoelace_bbox", """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 4)) AS c FROM embeddings), n AS (SELECT *, len(c) // 2 AS n FROM v)
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) * 10000)) AS c FROM embeddings), n AS (SELECT *, len(c) // 2 AS n FROM v)
 SELECT vec_id, round(abs(list_sum(list_transform(range(n), lambda i: c[2 * i + 1] * c[2 * ((i + 1) % n) + 2] - c[2 * ((i + 1) % n) + 1] * c[2 * i + 2]))) / 2, 6) AS area,
   round(list_max(list_transform(range(n), lambda i: c[2 * i + 1])) - list_min(list_transform(range(n), lambda i: c[2 * i + 1])), 6) AS w, round(list_min(list_transform(range(n), lambda i: c[2 * i + 2])), 6) AS y FROM n""")
 def polygon(spark, sf_dir):
-    c = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).alias("c"))
+    """Components as whole ten-thousandths, so sums are exact in any order."""
+    c = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.round(x.cast("double") * 10000, 0)).alias("c"))
     box = geometry.bounding_box(F.col("c"))
     return c.select("vec_id", F.round(geometry.shoelace(F.col("c")), 6).alias("area"), F.round(box["w"], 6).alias("w"), F.round(box["y"], 6).alias("y"))
 
