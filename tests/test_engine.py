@@ -342,3 +342,28 @@ def test_streams_agree_with_batches(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT sum(n) FROM counts").first()[0] == e.count()
+
+
+def test_annotation_tables(spark, tmp_path):
+    from chartsift.sources import annotations
+
+    shapes = "array<struct<type:string,points:array<double>,curve_name:string>>"
+    img = spark.createDataFrame([(3, "a.png", 10, 10, [("polygon", [0.0, 0.0, 4.0, 0.0, 4.0, 2.0], "Ciss"), ("polygon", [1.0, 1.0, 2.0, 1.0, 2.0, 2.0], "Coss")]), (5, "b.png", 9, 9, [])], f"id int, name string, width int, height int, shapes {shapes}")
+    images, ann, cats = annotations.to_coco(img)
+    assert [(r.id, r.image_id, r.area, r.bbox, r.attributes["curve_name"]) for r in ann.collect()] == [(1, 3, 4.0, [0.0, 0.0, 4.0, 2.0], "Ciss"), (2, 3, 0.5, [1.0, 1.0, 1.0, 1.0], "Coss")]
+    assert images.count() == 2 and annotations.to_coco(img, keep_empty=False)[0].count() == 1 and validate.coco_violations(images, ann, cats).count() == 0
+    merged, twice = annotations.merge([img, img])
+    assert [r.id for r in merged.orderBy("id").collect()] == [1, 2] and [r.name for r in twice.collect()] == ["a.png"]
+    annotations.write_xml(img, f"file://{tmp_path}/x")
+    back = documents.read_annotations(spark, f"file://{tmp_path}/x").orderBy("id").collect()
+    assert [(r.id, [(s.curve_name, s.points) for s in r.shapes]) for r in back] == [(3, [("Ciss", [0.0, 0.0, 4.0, 0.0, 4.0, 2.0]), ("Coss", [1.0, 1.0, 2.0, 1.0, 2.0, 2.0])]), (5, [])]
+
+
+def test_command_line(spark, tmp_path):
+    from chartsift.__main__ import main
+
+    (tmp_path / "p.csv").write_text("Part Number,Price\nA1,$2\n,\n")
+    assert main(["ingest", f"file://{tmp_path}/p.csv", "IGBT", f"file://{tmp_path}/o"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/o/devices").first().Cost == 2.0 and spark.read.parquet(f"{tmp_path}/o/skipped").count() == 1
+    (tmp_path / "n.txt").write_text("A1__x.png\n")
+    assert main(["split", f"file://{tmp_path}/n.txt", f"file://{tmp_path}/s"]) == 1
