@@ -20,7 +20,7 @@ from .common import table
 SAMPLE = 3000
 #: ... and most bytes of text of each class.
 SAMPLE_BYTES = 48 << 20
-WINDOW, GRAM = 40, 5
+WINDOWS, GRAM = (32, 48, 64), 5
 #: Byte strings of GRAM bytes typical of a class that its dictionary is trained on.
 TYPICAL = 1500
 BASE_BYTES, OWN_BYTES = 12288, 6144
@@ -28,18 +28,18 @@ BASE_BYTES, OWN_BYTES = 12288, 6144
 STEPS = (1, 2, 3, 4, 6)
 
 
-def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Segments (offset, length) of about ``WINDOW`` bytes that cover all texts, cut at blanks where there are any
+def windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segments (offset, length) of about ``width`` bytes that cover all texts, cut at blanks where there are any
     near, never across texts; and the number of segments of each text."""
     size = np.diff(offsets)
-    count = np.maximum(size // WINDOW, (size > 0).astype(np.int64))
+    count = np.maximum(size // width, (size > 0).astype(np.int64))
     owner = np.repeat(np.arange(len(size)), count)
     k = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    want = offsets[owner] + k * WINDOW
+    want = offsets[owner] + k * width
     blanks = np.nonzero(data <= 32)[0]
     at = np.searchsorted(blanks, want)
     near = np.where(at < len(blanks), blanks[np.minimum(at, len(blanks) - 1)] if len(blanks) else want, want)
-    start = np.where((k > 0) & (near - want < WINDOW // 2) & (near >= want), near, want)
+    start = np.where((k > 0) & (near - want < width // 2) & (near >= want), near, want)
     stop = np.r_[start[1:], 0]
     last = np.r_[owner[1:] != owner[:-1], True] if len(owner) else np.empty(0, bool)
     stop[last] = offsets[owner[last] + 1]
@@ -72,13 +72,14 @@ def grams(text: bytes) -> np.ndarray:
     return np.unique(sum(b[k : len(b) - GRAM + 1 + k] << np.uint64(8 * k) for k in range(GRAM)))
 
 
-def _trained(samples: list[bytes], size: int) -> bytes:
-    """Content of a zstandard dictionary of ``size`` bytes trained on ``samples``, padded in front where it is short."""
+def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """Content of a zstandard dictionary of ``size`` bytes trained on ``samples`` (``segment``: the trainer's segment size),
+    padded in front where it is short."""
     joined = b" ".join(samples)
     content = b""
     if len(joined) > 4 * size and len(samples) > 16:
         try:
-            content = zstd.train_dictionary(size + 1024, samples, k=48, d=6).as_bytes()[-size:]
+            content = zstd.train_dictionary(size + 1024, samples, k=segment, d=6).as_bytes()[-size:]
         except zstd.ZstdError:  # the trainer refuses samples that are too uniform
             content = b""
     content = content or joined[-size:]
@@ -95,25 +96,26 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "_pair": None}
 
-    def gains(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def gains(self, data: bytes, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Each window's gain and each text's number of windows."""
         self._pair = self._pair or (compressor(self.toxic), compressor(self.plain))
-        seg, count = windows(np.frombuffer(data, np.uint8), offsets)
+        seg, count = windows(np.frombuffer(data, np.uint8), offsets, width)
         return compressed_lengths(self._pair[1], data, seg) - compressed_lengths(self._pair[0], data, seg), count
 
     def features(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
-        """Per text: for each threshold the log of the windows above it less those as far below, the mean gain and the
-        log of the number of windows."""
-        gain, count = self.gains(data, offsets)
-        owner = np.repeat(np.arange(len(count)), count)
+        """Per text and window size: for each threshold the log of the windows above it and of those as far below, the mean
+        gain, the largest gain and the log of the number of windows."""
         rows = []
-        for t in STEPS:
-            above, below = (np.bincount(owner, weights=side, minlength=len(count)) for side in (gain >= t, gain <= -t))
-            rows += [np.log1p(above), np.log1p(below)]
-        total = np.bincount(owner, weights=gain, minlength=len(count))
-        top = np.zeros(len(count))
-        np.maximum.at(top, owner, gain)
-        return np.stack([*rows, total / np.maximum(count, 1), np.minimum(top, 12), np.log1p(count)], axis=1)
+        for width in WINDOWS:
+            gain, count = self.gains(data, offsets, width)
+            owner = np.repeat(np.arange(len(count)), count)
+            for t in STEPS:
+                above, below = (np.bincount(owner, weights=side, minlength=len(count)) for side in (gain >= t, gain <= -t))
+                rows += [np.log1p(above), np.log1p(below)]
+            total, top = np.bincount(owner, weights=gain, minlength=len(count)), np.zeros(len(count))
+            np.maximum.at(top, owner, gain)
+            rows += [total / np.maximum(count, 1), np.minimum(top, 12), np.log1p(count)]
+        return np.stack(rows, axis=1)
 
     def score(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
         x = (self.features(data, offsets) - self.centre) / self.scale
@@ -146,7 +148,7 @@ def _dictionaries(texts: list[bytes], labels: np.ndarray) -> tuple[bytes, bytes]
     for own in kinds:
         found, n = np.unique(np.concatenate([grams(t) for t in own] or [np.empty(0, np.uint64)]), return_counts=True)
         share.append((found, n))
-    base = _trained([t[a : a + 512] for t in kinds[0] for a in range(0, len(t), 512)][:20000], BASE_BYTES)
+    base = _trained([t[a : a + 512] for t in kinds[0] for a in range(0, len(t), 512)][:20000], BASE_BYTES, 48)
     own = []
     for k in (1, 0):
         found, n = share[k]
@@ -169,7 +171,7 @@ def _dictionaries(texts: list[bytes], labels: np.ndarray) -> tuple[bytes, bytes]
             for h in np.split(hit, np.nonzero(np.diff(hit) > 1)[0] + 1):
                 if len(h):
                     samples.append(t[h[0] : h[-1] + GRAM][:24])
-        own.append(_trained(samples, OWN_BYTES))
+        own.append(_trained(samples, OWN_BYTES, 16))
     return base + own[0], base + own[1]
 
 
@@ -182,7 +184,7 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None) -> Mo
     """
     y = np.array(labels, np.float64)
     if len(set(labels)) < 2:
-        n = len(STEPS) * 2 + 3
+        n = (len(STEPS) * 2 + 3) * len(WINDOWS)
         return Model(b" " * (BASE_BYTES + OWN_BYTES), b" " * (BASE_BYTES + OWN_BYTES), np.r_[(30.0 if y.mean() > 0.5 else -30.0) if len(y) else -30.0, np.zeros(n)], np.zeros(n), np.ones(n))
     half = np.array([zstd_hash(t) & 1 for t in texts])
     rows = []
@@ -214,6 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         own = rows.where(F.col("toxic") == k).orderBy("o", "doc_id").limit(sample)
         picked = own if picked is None else picked.unionByName(own)
     got = docs.select("doc_id", "text").join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id").orderBy("toxic", F.xxhash64("doc_id"), "doc_id").toLocalIterator()
+    number = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     texts, own, used = [], [], [0, 0]
     for r in got:
         t = (r.text or "").lower().encode("utf-8", "surrogatepass")
@@ -221,7 +224,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             used[r.toxic] += len(t)
             texts.append(t)
             own.append(r.toxic)
-    return fit(texts, own)
+    return fit(texts, own, number[1] / (number[0] + number[1]) if len(number) == 2 else None)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -251,7 +254,8 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Keeps the rows of ``docs`` that score below ``threshold``; columns as they were."""
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """Keeps the rows of ``docs`` that score below ``threshold`` (high, since clean documents should stay); columns as they
+    were."""
     name = "toxic_score__"
     return score(docs, learn(docs, labels), name=name).where(F.col(name) < threshold).drop(name)
