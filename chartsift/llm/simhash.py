@@ -149,34 +149,53 @@ def bucket_edges(key: np.ndarray, cid: np.ndarray, fp: np.ndarray, max_bits: int
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
 
+def forest(edges: np.ndarray) -> np.ndarray:
+    """As few links as hold the same components together: each node to its component's smallest."""
+    if not len(edges):
+        return edges
+    nodes, at = np.unique(edges, return_inverse=True)
+    a, b = at.reshape(-1, 2).T
+    label = np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    own = np.nonzero(label != np.arange(len(nodes)))[0]
+    return np.stack([nodes[own], nodes[label[own]]], axis=1)
+
+
 def in_buckets(rows: DataFrame, max_bits: int, words: int, chunk: int) -> DataFrame:
-    """Links found in the buckets of ``(key, cid, w0..)``: rows are dealt by key and cut to whole buckets as they come."""
+    """Links found in the buckets of ``(key, cid, w0..)``: rows are dealt by key and cut to whole buckets as they come; a task
+    hands on a spanning forest of what all its buckets link."""
     names = [f"w{k}" for k in range(words)]
 
     def work(batches):
         held: list[pd.DataFrame] = []
+        links, size = np.empty((0, 2), np.int64), 0
 
-        def flush(df: pd.DataFrame):
+        def found(df: pd.DataFrame) -> np.ndarray:
             fp = np.stack([df[c].to_numpy(np.int64).view(np.uint64) for c in names], axis=1)
             e = bucket_edges(df["key"].to_numpy(np.int64), df["cid"].to_numpy(np.int64), fp, max_bits, chunk)
-            return pd.DataFrame({"src": e[:, 0], "dst": e[:, 1]})
+            return forest(np.concatenate([links, e]))
 
-        size = 0
         for df in batches:
             held.append(df)
             size += len(df)
             if size > 400_000:
                 df = pd.concat(held, ignore_index=True)
                 last = df["key"].to_numpy() == df["key"].iloc[-1]
-                if last.all():
-                    held, size = [df], 0
-                    continue
-                held, size = [df[last]], 0
-                yield flush(df[~last])
+                held, size = [df[last]], int(last.sum()) if not last.all() else 0
+                if not last.all():
+                    links = found(df[~last])
         if held:
             df = pd.concat(held, ignore_index=True)
             if len(df):
-                yield flush(df)
+                links = found(df)
+        yield pd.DataFrame({"src": links[:, 0], "dst": links[:, 1]})
 
     return rows.repartition("key").sortWithinPartitions("key").mapInPandas(work, "src long, dst long")
 
