@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, shared_path, table
+from .common import WORD, cut, shared_path, table
 
 KEYS = ("source", "lang", "tokenizer")
 PIECE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
@@ -67,9 +67,15 @@ def vocabulary_file(path: str) -> Callable[[Column], Column]:
 TOKENIZERS: dict[str, Callable[[Column], Column]] = {"words-1": words_1, "pieces-1": pieces_1}
 
 
-def signed(docs: DataFrame, sign: int) -> DataFrame:
-    """Rows of ``docs`` as changes: ``(source, lang, text, sign)``."""
-    return docs.select("source", "lang", "text", F.lit(sign).cast("long").alias("sign"))
+def counts(text: Column, tokenizers: dict[str, Callable[[Column], Column]] = TOKENIZERS) -> Column:
+    """Array of a text's token counts, one for each tokenizer."""
+    return F.array(*[f(text).cast("long") for f in tokenizers.values()])
+
+
+def signed(docs: DataFrame, sign: int, tokenizers: dict[str, Callable[[Column], Column]] = TOKENIZERS, counted: str | None = None) -> DataFrame:
+    """Rows of ``docs`` as changes ``(source, lang, counts, sign)``; ``counted`` names a column of counts made before, so that
+    changes picked by a join need not carry their texts through it."""
+    return docs.select("source", "lang", (F.col(counted) if counted else counts(F.col("text"), tokenizers)).alias("counts"), F.lit(sign).cast("long").alias("sign"))
 
 
 def deltas(changes: DataFrame, tokenizers: dict[str, Callable[[Column], Column]] = TOKENIZERS) -> DataFrame:
@@ -78,8 +84,7 @@ def deltas(changes: DataFrame, tokenizers: dict[str, Callable[[Column], Column]]
     Partial sums before the shuffle make a hot source one row for each map task. Null sources and languages are groups
     of their own; null and empty texts count 0 tokens; an empty batch has no rows; extra columns play no part.
     """
-    counted = changes.select("source", "lang", "sign", *[f(F.col("text")).alias(f"n{i}") for i, f in enumerate(tokenizers.values())])
-    sums = counted.groupBy("source", "lang").agg(F.sum("sign").alias("n_docs"), *[F.sum(F.col("sign") * F.col(f"n{i}")).alias(f"n{i}") for i in range(len(tokenizers))])
+    sums = changes.groupBy("source", "lang").agg(F.sum("sign").alias("n_docs"), *[F.sum(F.col("sign") * F.get("counts", i)).alias(f"n{i}") for i in range(len(tokenizers))])
     rows = F.array(*[F.struct(F.lit(v).alias("tokenizer"), F.col(f"n{i}").alias("n_tokens")) for i, v in enumerate(tokenizers)])
     return sums.select("source", "lang", "n_docs", F.explode(rows).alias("x")).select("source", "lang", "x.tokenizer", "n_docs", "x.n_tokens")
 
@@ -137,12 +142,14 @@ def op2_token_rollup(spark, sf_dir: str) -> DataFrame:
     rollup = Rollup(spark, shared_path(spark, "rollup"))
     toxic, low = labels.where("toxic = 1").select("doc_id").distinct(), labels.where("quality = 0").select("doc_id").distinct()
     plain = F.regexp_replace("text", r"[.,;:!?]", "")
-    revised = docs.join(toxic, "doc_id", "left_semi")
-    revision = signed(revised, -1).unionByName(signed(revised.withColumn("text", plain), 1))
-    gone = docs.join(low, "doc_id", "left_semi").join(toxic.withColumn("t", F.lit(True)), "doc_id", "left").withColumn("text", F.when(F.col("t"), plain).otherwise(F.col("text")))
-    rollup.commit("1", deltas(signed(docs, 1)))
+    # counted once, in a narrow pass over the texts; what follows moves a few numbers for each document
+    rows = cut(docs.select("doc_id", "source", "lang", counts(F.col("text")).alias("old"), counts(plain).alias("new")))
+    revised = rows.join(toxic, "doc_id", "left_semi")
+    revision = signed(revised, -1, counted="old").unionByName(signed(revised, 1, counted="new"))
+    gone = rows.join(low, "doc_id", "left_semi").join(toxic.withColumn("t", F.lit(True)), "doc_id", "left").withColumn("now", F.when(F.col("t"), F.col("new")).otherwise(F.col("old")))
+    rollup.commit("1", deltas(signed(rows, 1, counted="old")))
     rollup.commit("2", deltas(revision))
-    rollup.commit("3", deltas(signed(gone, -1)))
+    rollup.commit("3", deltas(signed(gone, -1, counted="now")))
     rollup.commit("2", deltas(revision))
     return rollup.totals()
 
