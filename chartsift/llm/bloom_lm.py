@@ -19,12 +19,12 @@ from .simhash import mix
 
 #: The filter is broadcast, so its size is bounded: beyond it the error rate grows, never the memory.
 MAX_FILTER_BYTES = 48 << 20
-#: Bits for each (n-gram, level) item up to that bound, and probes for each item: 2.2 % false positives at 8 and 4.
+#: Bits for each (n-gram, level) item up to that bound (half as many again are given), and probes for each item.
 BITS_PER_ITEM, PROBES = 8, 3
 #: Text bytes that one bucket of documents holds on average.
 BUCKET_BYTES = 6 << 20
 #: N-grams that a task holds before it hands its counts on.
-HELD = 3_000_000
+HELD = 2_000_000
 #: Weight of the word model in the interpolation with the pair model.
 WORD_WEIGHT = 0.5
 _LEVELS = 40
@@ -96,17 +96,18 @@ def _items(h: np.ndarray, level: int) -> np.ndarray:
 
 
 class LogFrequencyFilter:
-    """The merged filter: ``shards`` Bloom filters of ``size`` bits each; an n-gram's shard is its hash's top bits."""
+    """The merged filter: one Bloom filter for each shard (an n-gram's shard is its hash's top bits), of ``sizes[shard]``
+    bits from byte ``starts[shard]`` on."""
 
-    def __init__(self, bits: np.ndarray, shards: int, size: int):
-        self.bits, self.shards, self.size = bits, shards, size
+    def __init__(self, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        self.bits, self.starts, self.sizes = bits, starts, sizes
 
     def probe(self, h: np.ndarray, level: int) -> np.ndarray:
-        x = _items(h, level)
-        at = shard_of(h, self.shards).astype(np.int64) * (self.size // 8)
+        x, shard = _items(h, level), shard_of(h, len(self.sizes)).astype(np.int64)
+        at, size = self.starts[shard], self.sizes[shard].astype(np.uint64)
         step, hit = (x >> np.uint64(32)) | np.uint64(1), np.ones(len(h), bool)
         for k in range(PROBES):
-            pos = ((x + np.uint64(k) * step) % np.uint64(self.size)).astype(np.int64)
+            pos = ((x + np.uint64(k) * step) % size).astype(np.int64)
             hit &= (self.bits[at + (pos >> 3)] >> (pos & 7).astype(np.uint8)) & 1 == 1
         return hit
 
@@ -199,34 +200,33 @@ def gather(train: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
 def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES) -> tuple[LogFrequencyFilter, DataFrame, int, int]:
     """Filter, exact word counts, all tokens and different tokens of ``train(text)``.
 
-    Shards grow with the text (2 MB each, a power of two up to 4096), so that a task merges a bounded part. The
-    filter has ``BITS_PER_ITEM`` bits for each item, up to ``max_bytes`` in all; that bound is what makes it fit to be
-    broadcast.
+    Shards grow with the text (2 MB each, a power of two up to 4096), so that a task merges a bounded part. A shard has
+    ``BITS_PER_ITEM`` bits and a half for each of its items, up to its part of ``max_bytes``; that bound is what makes the
+    filter fit to be gathered and broadcast. Counts are merged and turned to bits in the task that gets them.
     """
     shards = 1 << min(12, max(3, (text_bytes >> 21).bit_length()))
     words, packed = gather(train, shards)
     words = cut(words)
     total, different = words.agg(F.sum("n"), F.count("*")).first()
-
-    def merged(key, batches):
-        own = [_unpack(h, n) for df in batches for h, n in zip(df["h"], df["n"])]
-        return _summed(np.concatenate([x[0] for x in own]), np.concatenate([x[1] for x in own]))
+    most = max_bytes * 8 // shards // 8 * 8
 
     def word_items(batches):
         for df in batches:
             h = df["word"].to_numpy(np.int64).view(np.uint64)
             yield _pack(word_hash(h), df["n"].to_numpy().clip(max=2**32 - 1), shards)
 
-    counted = packed.groupBy("shard").applyInPandas(lambda key, df: _pack(*merged(key, [df]), shards), "shard int, h binary, n binary")
+    def merged(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        own = [_unpack(h, n) for h, n in zip(df["h"], df["n"])]
+        h, n = _summed(np.concatenate([x[0] for x in own]), np.concatenate([x[1] for x in own]))
+        items = float((1 + np.floor(np.log2(n))).sum())
+        size = int(min(most, max(4096, 1.5 * items * BITS_PER_ITEM))) // 8 * 8
+        return pd.DataFrame({"shard": [key[0]], "bits": [fill(h, n, size).tobytes()]})
+
     own = words.mapInPandas(word_items, "shard int, h binary, n binary")
-    both = cut(counted.unionByName(own))
-    items = both.select(F.sum(F.length("n") / 4)).first()[0] or 0
-    size = int(min(max_bytes * 8 // shards, max(4096, 1.5 * items * BITS_PER_ITEM / shards))) // 8 * 8
-    made = both.groupBy("shard").applyInPandas(lambda key, df: pd.DataFrame({"shard": [key[0]], "bits": [fill(*merged(key, [df]), size).tobytes()]}), "shard int, bits binary")
-    bits = np.zeros(shards * size // 8, np.uint8)
-    for row in made.toLocalIterator():
-        bits[row.shard * size // 8 : (row.shard + 1) * size // 8] = np.frombuffer(row.bits, np.uint8)
-    return LogFrequencyFilter(bits, shards, size), words, int(total or 0), int(different)
+    made = {r.shard: r.bits for r in packed.unionByName(own).groupBy("shard").applyInPandas(merged, "shard int, bits binary").collect()}
+    parts = [np.frombuffer(made.get(k, b"\0"), np.uint8) for k in range(shards)]
+    sizes = np.array([len(p) * 8 for p in parts], np.int64)
+    return LogFrequencyFilter(np.concatenate(parts), np.r_[0, np.cumsum(sizes[:-1]) // 8].astype(np.int64), sizes), words, int(total or 0), int(different)
 
 
 def log_probabilities(h: np.ndarray, first: np.ndarray, model: LogFrequencyFilter, total: int, different: int) -> np.ndarray:
@@ -258,7 +258,7 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     model, words, total, different = build(train.select(F.col(text_col).alias("text")), size, max_bytes)
-    sent = docs.sparkSession.sparkContext.broadcast((model.bits, model.shards, model.size))
+    sent = docs.sparkSession.sparkContext.broadcast((model.bits, model.starts, model.sizes))
     buckets = max(1, size // BUCKET_BYTES)
     dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.length(text_col)), F.lit(buckets)).cast("int").alias("bucket")).repartition(int(buckets), "bucket")
 

@@ -188,7 +188,7 @@ def test_bloom_lm_base_is_exact_and_filter_counts_are_bounded(spark):
 def test_filter_never_understates():
     h = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 3000, dtype=np.uint64) & ~np.uint64((1 << 18) - 1))
     counts = np.random.default_rng(2).integers(1, 200, len(h))
-    model = bloom_lm.LogFrequencyFilter(bloom_lm.fill(h, counts, 8 * 40000), 1, 8 * 40000)
+    model = bloom_lm.LogFrequencyFilter(bloom_lm.fill(h, counts, 8 * 40000), np.array([0]), np.array([8 * 40000]))
     low = np.where(counts == 1, 1, 1.5 * 2.0 ** np.floor(np.log2(counts)) - 0.5)
     assert (model.count(h) >= low).all() and (model.count(h) == low).mean() > 0.9
 
