@@ -2,7 +2,8 @@
 
 Counts of words and word pairs are gathered over the whole training text, each
 count c is quantised to q = 1 + floor(log2 c), and the pair (n-gram, level) goes into a Bloom filter for every level
-1..q. Workers get the filter as one broadcast. A probability is read by probing level 1, 2, ... until a miss: common
+1..q. Workers get the filter by broadcast: as one while it fits, else as several parts that a task holds one after the
+other, adding up their answers, so that the error rate is the same at every size. A probability is read by probing level 1, 2, ... until a miss: common
 n-grams need more probes, unseen ones one, and an error can only overstate a count.
 """
 
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 from .common import cut, table
 from .simhash import mix
 
-#: The filter is broadcast, so its size is bounded: beyond it the error rate grows, never the memory.
+#: A broadcast's size is bounded: beyond it the filter is sent and probed in more parts, each of whole shards.
 MAX_FILTER_BYTES = 48 << 20
-#: Bits for each (n-gram, level) item up to that bound (half as many again are given), and probes for each item.
+#: Bits for each (n-gram, level) item (half as many again are given), and probes for each item.
 BITS_PER_ITEM, PROBES = 8, 3
 #: Text bytes that one bucket of documents holds on average.
 BUCKET_BYTES = 6 << 20
@@ -96,8 +97,8 @@ def _items(h: np.ndarray, level: int) -> np.ndarray:
 
 
 class LogFrequencyFilter:
-    """The merged filter: one Bloom filter for each shard (an n-gram's shard is its hash's top bits), of ``sizes[shard]``
-    bits from byte ``starts[shard]`` on."""
+    """The merged filter, or a part of it: one Bloom filter for each shard (an n-gram's shard is its hash's top bits), of
+    ``sizes[shard]`` bits from byte ``starts[shard]`` on; size 0 is a shard that is empty or in another part."""
 
     def __init__(self, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         self.bits, self.starts, self.sizes = bits, starts, sizes
@@ -112,8 +113,8 @@ class LogFrequencyFilter:
         return hit
 
     def count(self, h: np.ndarray) -> np.ndarray:
-        """Estimated counts: 0 for a miss at level 1, else the middle of the last level's range."""
-        out, left = np.zeros(len(h)), np.arange(len(h))
+        """Estimated counts: 0 for a miss at level 1 or in another part, else the middle of the last level's range."""
+        out, left = np.zeros(len(h)), np.nonzero(self.sizes[shard_of(h, len(self.sizes)).astype(np.int64)] > 0)[0]
         for level in range(1, _LEVELS):
             left = left[self.probe(h[left], level)]
             if not len(left):
@@ -122,6 +123,22 @@ class LogFrequencyFilter:
         return out
 
 
+class FilterInParts:
+    """The filter as broadcast parts. Each shard is in one part, so the parts' counts of an n-gram add up to its count;
+    with more than one part, a worker keeps none but the one it probes."""
+
+    def __init__(self, parts: list):
+        self.parts = parts
+
+    def count(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h))
+        for part in self.parts:
+            out += LogFrequencyFilter(*part.value).count(h)
+            if len(self.parts) > 1 and hasattr(part, "_path"):
+                part.__dict__.pop("_value", None)  # read again from the worker's file when it's next needed
+        return out
+
+
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (h >> np.uint64(64 - shards.bit_length() + 1)) if shards > 1 else np.zeros(len(h), np.uint64)
 
@@ -197,18 +214,28 @@ def gather(train: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
     return words, train.select("text").mapInArrow(pairs, "shard int, h binary, n binary")
 
 
-def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES) -> tuple[LogFrequencyFilter, DataFrame, int, int]:
+def parts_of(sizes: np.ndarray, max_bytes: int) -> list[tuple[int, int]]:
+    """Runs of shards (from, to) of ``max_bytes`` or less together; a larger shard is a part of its own."""
+    out, at, held = [], 0, 0
+    for k, size in enumerate((sizes // 8).tolist()):
+        if held and held + size > max_bytes:
+            out.append((at, k))
+            at, held = k, 0
+        held += size
+    return [*out, (at, len(sizes))]
+
+
+def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES) -> tuple[FilterInParts, DataFrame, int, int]:
     """Filter, exact word counts, all tokens and different tokens of ``train(text)``.
 
     Shards grow with the text (2 MB each, a power of two up to 4096), so that a task merges a bounded part. A shard has
-    ``BITS_PER_ITEM`` bits and a half for each of its items, up to its part of ``max_bytes``; that bound is what makes the
-    filter fit to be gathered and broadcast. Counts are merged and turned to bits in the task that gets them.
+    ``BITS_PER_ITEM`` bits and a half for each of its items, however many there are. Counts are merged and turned to bits in
+    the task that gets them; the driver gathers and broadcasts shards of ``max_bytes`` at a time.
     """
     shards = 1 << min(12, max(3, (text_bytes >> 21).bit_length()))
     words, packed = gather(train, shards)
     words = cut(words)
     total, different = words.agg(F.sum("n"), F.count("*")).first()
-    most = max_bytes * 8 // shards // 8 * 8
 
     def word_items(batches):
         for df in batches:
@@ -219,17 +246,25 @@ def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES)
         own = [_unpack(h, n) for h, n in zip(df["h"], df["n"])]
         h, n = _summed(np.concatenate([x[0] for x in own]), np.concatenate([x[1] for x in own]))
         items = float((1 + np.floor(np.log2(n))).sum())
-        size = int(min(most, max(4096, 1.5 * items * BITS_PER_ITEM))) // 8 * 8
+        size = int(max(4096, 1.5 * items * BITS_PER_ITEM)) // 8 * 8
         return pd.DataFrame({"shard": [key[0]], "bits": [fill(h, n, size).tobytes()]})
 
     own = words.mapInPandas(word_items, "shard int, h binary, n binary")
-    made = {r.shard: r.bits for r in packed.unionByName(own).groupBy("shard").applyInPandas(merged, "shard int, bits binary").collect()}
-    parts = [np.frombuffer(made.get(k, b"\0"), np.uint8) for k in range(shards)]
-    sizes = np.array([len(p) * 8 for p in parts], np.int64)
-    return LogFrequencyFilter(np.concatenate(parts), np.r_[0, np.cumsum(sizes[:-1]) // 8].astype(np.int64), sizes), words, int(total or 0), int(different)
-
-
-def log_probabilities(h: np.ndarray, first: np.ndarray, model: LogFrequencyFilter, total: int, different: int) -> np.ndarray:
+    made = cut(packed.unionByName(own).groupBy("shard").applyInPandas(merged, "shard int, bits binary"))
+    sizes, parts = np.zeros(shards, np.int64), []
+    for r in made.select("shard", F.length("bits").alias("n")).collect():
+        sizes[r.shard] = r.n * 8
+    for a, b in parts_of(sizes, max_bytes):
+        of = np.where((np.arange(shards) >= a) & (np.arange(shards) < b), sizes, 0)
+        starts = np.r_[0, np.cumsum(of[:-1]) // 8].astype(np.int64)
+        bits = np.zeros(int(of.sum()) // 8, np.uint8)
+        for r in made.where(F.col("shard").between(a, b - 1)).collect():
+            bits[starts[r.shard] : starts[r.shard] + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+        parts.append(train.sparkSession.sparkContext.broadcast((bits, starts, of)))
+    return FilterInParts(parts), words, int(total or 0), int(different)
+
+
+def log_probabilities(h: np.ndarray, first: np.ndarray, model: FilterInParts, total: int, different: int) -> np.ndarray:
     """log10 probability of each token of a run of texts given the one before it; ``first`` marks a text's start.
 
     The smoothed word model and the pairs' relative frequency are interpolated; both come from the filter's estimated
@@ -237,11 +272,12 @@ def log_probabilities(h: np.ndarray, first: np.ndarray, model: LogFrequencyFilte
     pair of the run is probed once.
     """
     different_words, where = np.unique(h, return_inverse=True)
-    word = model.count(word_hash(different_words))[where]
+    found, pair_at = np.unique(pair_hash(h[:-1], h[1:]), return_inverse=True)
+    counts = model.count(np.concatenate([word_hash(different_words), found]))
+    word = counts[: len(different_words)][where]
     p = (word + 0.1) / (total + 0.1 * (different + 1))
     if len(h) > 1:
-        found, where = np.unique(pair_hash(h[:-1], h[1:]), return_inverse=True)
-        pair = np.minimum(model.count(found)[where], np.minimum(word[:-1], word[1:]))
+        pair = np.minimum(counts[len(different_words) :][pair_at], np.minimum(word[:-1], word[1:]))
         seen = (word[:-1] > 0) & ~first[1:]
         p[1:] = np.where(seen, (1 - WORD_WEIGHT) * pair / np.maximum(word[:-1], 1) + WORD_WEIGHT * p[1:], p[1:])
     return np.log10(p)
@@ -258,7 +294,6 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     model, words, total, different = build(train.select(F.col(text_col).alias("text")), size, max_bytes)
-    sent = docs.sparkSession.sparkContext.broadcast((model.bits, model.starts, model.sizes))
     buckets = max(1, size // BUCKET_BYTES)
     dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.length(text_col)), F.lit(buckets)).cast("int").alias("bucket")).repartition(int(buckets), "bucket")
 
@@ -276,7 +311,6 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     schema = f"id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def scored(own: pa.Table, counts: pa.Table) -> pa.Table:
-        lm = LogFrequencyFilter(*sent.value)
         h, lengths = hashed_tokens(own.column("text"))
         if not len(h):
             return pa.table({"id": own.column("id"), **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")}, **{c: pa.array([], pa.float64()) for c in ("base_score", "score")}})
@@ -288,7 +322,7 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
         word, count = np.r_[word[order], np.uint64(2**64 - 1)], np.r_[counts.column("n").to_numpy()[order], 0]
         at = np.searchsorted(word[:-1], h)
         n = np.where(word[at] == h, count[at], 0)
-        base, lm_score = (np.log10(n + 0.1) - floor, log_probabilities(h, first, lm, total, different)) if total else (np.zeros(len(h)), np.zeros(len(h)))
+        base, lm_score = (np.log10(n + 0.1) - floor, log_probabilities(h, first, model, total, different)) if total else (np.zeros(len(h)), np.zeros(len(h)))
         return pa.table({"id": own.column("id"), "n_tokens": lengths, "n_known": np.add.reduceat((n > 0).astype(np.int64), starts), "train_tokens": np.full(len(lengths), total, np.int64), "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(lm_score, starts)})
 
     return dealt.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(scored, schema)

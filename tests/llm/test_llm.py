@@ -193,6 +193,15 @@ def test_filter_never_understates():
     assert (model.count(h) >= low).all() and (model.count(h) == low).mean() > 0.9
 
 
+def test_filter_in_parts_scores_as_one_broadcast_does(spark):
+    rnd = random.Random(8)
+    docs = docs_of(spark, [(i, " ".join(prose(rnd, 200, 3000))) for i in range(60)])
+    train = docs.where("doc_id % 10 <> 0")
+    whole, parted = ({r.id: r.score for r in bloom_lm.score(docs, train, **most).collect()} for most in ({}, {"max_bytes": 4096}))
+    assert len(whole) == 60 and whole == parted
+    assert len(bloom_lm.build(train.select("text"), 1 << 20, 4096)[0].parts) > 1
+
+
 # --- 5 decontamination ----------------------------------------------------------------------------------------------
 
 
