@@ -18,6 +18,10 @@ from .common import components, cut, table
 
 #: A bucket of more distinct fingerprints than this is divided by a second index over the bits that its key left open.
 BUCKET = 16384
+#: The same for fingerprints of more than a word, whose oversized buckets are compared by pairs of parts.
+PART = 4096
+#: Up to this many oversized buckets are known to each task by broadcast, more are joined.
+KNOWN_BUCKETS = 200_000
 #: Rows of the bucket's distance matrix made at once.
 BLOCK = 512
 
@@ -82,6 +86,12 @@ def variant_keys(fp: np.ndarray, cuts: list[tuple[int, int]], tag: np.ndarray |
     return np.stack(out, axis=1) if out else np.empty((len(fp), 0), np.int64)
 
 
+def segment_values(fp: np.ndarray, cuts: list[tuple[int, int]]) -> np.ndarray:
+    """Segment number and value of each segment of each fingerprint."""
+    big = np.unpackbits(np.ascontiguousarray(fp.astype(">u8")).view(np.uint8).reshape(len(fp), -1), axis=1)
+    return np.stack([big[:, at : at + length].astype(np.int64) @ (1 << np.arange(length - 1, -1, -1, dtype=np.int64)) | np.int64(k << 40) for k, (at, length) in enumerate(cuts)], axis=1)
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return sum(np.bitwise_count(a[:, None, k] ^ b[None, :, k]).astype(np.int32) for k in range(a.shape[1]))
 
@@ -127,7 +137,7 @@ def neighbour_labels(fp: np.ndarray, max_bits: int) -> np.ndarray:
     return out
 
 
-def bucket_edges(key: np.ndarray, cid: np.ndarray, fp: np.ndarray, max_bits: int, chunk: int) -> np.ndarray:
+def bucket_edges(key: np.ndarray, cid: np.ndarray, fp: np.ndarray, max_bits: int) -> np.ndarray:
     """Verified links of a run of whole buckets: all pairs of buckets of up to four, else a spanning forest."""
     order = np.lexsort((cid, key))
     key, cid, fp = key[order], cid[order], fp[order]
@@ -141,11 +151,10 @@ def bucket_edges(key: np.ndarray, cid: np.ndarray, fp: np.ndarray, max_bits: int
             near = sum(np.bitwise_count(fp[i, k] ^ fp[i + d, k]).astype(np.int32) for k in range(fp.shape[1])) <= max_bits
             found.append(np.stack([cid[i[near]], cid[i[near] + d]], axis=1))
     for at, n in zip(starts[sizes > 4], sizes[sizes > 4]):
-        for lo in range(at, at + n, chunk):
-            part = slice(lo, min(lo + chunk, at + n))
-            label = (neighbour_labels if n > BUCKET and fp.shape[1] == 1 and max_bits <= 2 else bucket_labels)(fp[part], max_bits)
-            own, c = np.arange(len(label)), cid[part]
-            found.append(np.stack([c[own != label], c[label[own != label]]], axis=1))
+        part = slice(at, at + n)
+        label = (neighbour_labels if n > BUCKET and fp.shape[1] == 1 and max_bits <= 2 else bucket_labels)(fp[part], max_bits)
+        own, c = np.arange(len(label)), cid[part]
+        found.append(np.stack([c[own != label], c[label[own != label]]], axis=1))
     return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
 
@@ -168,7 +177,19 @@ def forest(edges: np.ndarray) -> np.ndarray:
     return np.stack([nodes[own], nodes[label[own]]], axis=1)
 
 
-def in_buckets(rows: DataFrame, max_bits: int, words: int, chunk: int) -> DataFrame:
+def by_part_pairs(key: np.ndarray, cid: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows go where when each bucket is dealt into ``parts`` parts: (row, key), a row to each pair of its bucket's
+    parts that has its own in it. Any two rows of a bucket meet in such a pair; a bucket of one part stays as it is."""
+    own = (mix(cid.view(np.uint64), 3) % parts.astype(np.uint64)).astype(np.int64)
+    row = np.repeat(np.arange(len(key)), np.maximum(parts - 1, 1))
+    other = np.arange(len(row)) - np.repeat(np.cumsum(np.maximum(parts - 1, 1)) - np.maximum(parts - 1, 1), np.maximum(parts - 1, 1))
+    other = other + (other >= own[row])
+    low, high = np.minimum(own[row], other), np.maximum(own[row], other)
+    pair = mix(mix(key[row].view(np.uint64), 1) + (low * parts[row] + high).astype(np.uint64), 2).view(np.int64)
+    return row, np.where(parts[row] > 1, pair, key[row])
+
+
+def in_buckets(rows: DataFrame, max_bits: int, words: int) -> DataFrame:
     """Links found in the buckets of ``(key, cid, w0..)``: rows are dealt by key and cut to whole buckets as they come; a task
     hands on a spanning forest of what all its buckets link."""
     names = [f"w{k}" for k in range(words)]
@@ -179,7 +200,7 @@ def in_buckets(rows: DataFrame, max_bits: int, words: int, chunk: int) -> DataFr
 
         def found(df: pd.DataFrame) -> np.ndarray:
             fp = np.stack([df[c].to_numpy(np.int64).view(np.uint64) for c in names], axis=1)
-            e = bucket_edges(df["key"].to_numpy(np.int64), df["cid"].to_numpy(np.int64), fp, max_bits, chunk)
+            e = bucket_edges(df["key"].to_numpy(np.int64), df["cid"].to_numpy(np.int64), fp, max_bits)
             return forest(np.concatenate([links, e]))
 
         for df in batches:
@@ -209,8 +230,8 @@ def near_duplicates(
     differs by at most a bit. Rows with equal fingerprints are one class before anything is indexed, so copies cost
     nothing. A bucket of over ``bucket`` distinct fingerprints is divided: for 64-bit fingerprints and up to two bits
     by one-wildcard variants of the two halves of the segments that the key left open (again lossless, and such a part
-    has at most 2^18 members by construction); for wider ones, whose index is probabilistic anyway, into chunks of
-    ``bucket`` that other buckets tie together. Null and empty texts have the fingerprint zero; null ids are kept as a
+    has at most 2^18 members by construction); for wider ones one of over ``PART`` is dealt into parts by a hash, and each
+    pair of parts is a bucket of its own, so that all members still meet. Null and empty texts have the fingerprint zero; null ids are kept as a
     row with a null component; extra columns play no part; an empty table gives an empty one.
     """
     count = count or (max_bits + 2) // 2
@@ -232,11 +253,39 @@ def near_duplicates(
 
     keyed = flat.mapInPandas(variants, schema)
     if not exact:
-        links = in_buckets(keyed, max_bits, n_words, min(bucket, BLOCK))
+        most = min(bucket, PART)
+
+        def counted(batches):
+            for df in batches:
+                values = segment_values(np.stack([df[c].to_numpy(np.int64).view(np.uint64) for c in names], axis=1), cuts)
+                value, n = np.unique(values, return_counts=True)
+                yield pd.DataFrame({"value": value, "n": n})
+
+        def wildcards(batches):
+            for df in batches:
+                for value, n in zip(df["value"].tolist(), df["n"].tolist()):
+                    bits_of = range(cuts[value >> 40][1])
+                    yield pd.DataFrame({"key": [(value & ~(1 << bit)) | (bit << 32) for bit in bits_of], "n": [n] * len(bits_of)})
+
+        def dealt(batches):
+            for whole in batches:
+                for at in range(0, len(whole), 4000):
+                    df = whole.iloc[at : at + 4000]
+                    row, key = by_part_pairs(df["key"].to_numpy(np.int64), df["cid"].to_numpy(np.int64), df["parts"].to_numpy(np.int64))
+                    yield pd.DataFrame({"key": key} | {c: df[c].to_numpy()[row] for c in ["cid", *names]})
+
+        # A bucket joins the fingerprints of two values of a segment, so the commoner one has half of it at least.
+        values = cut(flat.mapInPandas(counted, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")).where(F.col("n") > most // 2))
+        if not values.isEmpty():
+            parts = cut(values.mapInPandas(wildcards, "key long, n long").groupBy("key").agg(F.greatest(F.lit(2), F.ceil(2 * F.max("n") / most)).alias("parts")))
+            hot = parts.count()
+            known = keyed.join(F.broadcast(parts) if hot <= KNOWN_BUCKETS else parts, "key", "left")
+            keyed = known.select("key", "cid", *names, F.coalesce("parts", F.lit(1)).cast("long").alias("parts")).mapInPandas(dealt, schema)
+        links = in_buckets(keyed, max_bits, n_words)
     else:
         many = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
         shared = cut(keyed.join(many, "key"))
-        links = in_buckets(shared.where(F.col("n") <= bucket).drop("n"), max_bits, n_words, 1 << 30)
+        links = in_buckets(shared.where(F.col("n") <= bucket).drop("n"), max_bits, n_words)
         if not many.where(F.col("n") > bucket).isEmpty():
             half = [(32, 16), (48, 16)], [(0, 16), (16, 16)]
 
@@ -249,7 +298,7 @@ def near_duplicates(
                     yield pd.DataFrame({"key": h.view(np.int64), "cid": np.repeat(df["cid"].to_numpy(), keys.shape[1]), "w0": np.repeat(df["w0"].to_numpy(), keys.shape[1])})
 
             hot = shared.where(F.col("n") > bucket).drop("n").mapInPandas(again, schema)
-            links = links.unionByName(in_buckets(hot, max_bits, n_words, 1 << 30))
+            links = links.unionByName(in_buckets(hot, max_bits, n_words))
     roots = components(links)
     joined = classes.join(roots, F.col("cid") == F.col("node"), "left").select("fp", F.coalesce("component", "cid").alias("component_id"))
     return fps.join(joined, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))

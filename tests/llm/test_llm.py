@@ -292,6 +292,19 @@ def test_neighbour_lookup_agrees_with_the_matrix():
     assert same(simhash.bucket_labels(fp, 2), simhash.neighbour_labels(fp, 2))
 
 
+@pytest.mark.parametrize("bucket", [simhash.BUCKET, 300])
+def test_all_of_a_large_bucket_of_wide_fingerprints_meet(spark, monkeypatch, bucket):
+    rnd = np.random.default_rng(5)
+    fp = rnd.integers(0, 1 << 63, (1500, 2), dtype=np.uint64) * np.uint64(2) + rnd.integers(0, 2, (1500, 2), dtype=np.uint64)
+    fp[:, 0] = (fp[:, 0] & np.uint64(2**48 - 1)) | np.uint64(0x1234 << 48)
+    three = np.uint64(0x0111)  # three bits in each other segment: the pair meets in the first segment's buckets alone
+    fp[1499] = fp[0] ^ np.array([three << np.uint64(32) | three << np.uint64(16) | three, three << np.uint64(48) | three << np.uint64(32) | three << np.uint64(16) | three])
+    docs = spark.createDataFrame([(i, " ".join(map(str, row))) for i, row in enumerate(fp.view(np.int64).tolist())], "doc_id long, text string")
+    monkeypatch.setattr(simhash, "fingerprints", lambda d, *_: d.select(F.col("doc_id").alias("id"), F.split("text", " ").cast("array<bigint>").alias("fp")))
+    got = {r.id: r.component_id for r in simhash.near_duplicates(docs, max_bits=24, bits=128, count=8, bucket=bucket, exact_split=False).collect()}
+    assert got == {i: 0 if i == 1499 else i for i in range(1500)}
+
+
 def test_near_dedup_stage_keeps_one_of_a_group_and_clean_texts(spark):
     rnd = random.Random(8)
     w = [prose(rnd, 300, 5000) for _ in range(20)]
