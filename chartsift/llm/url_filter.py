@@ -68,7 +68,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     """``(id, host, path, rule, verdict)`` for each row of ``pages``.
 
     A rule's verdict stands. Else a page takes its component's: allow if a rule allows any member, block if one blocks
-    any (targets of links count as members though they are no pages), allow if neither. ``edges`` may give further
+    any (every page of a node counts, and so do targets of links though they are no pages), allow if neither. ``edges`` may give further
     ``(url, target)`` pairs, such as HTTP redirects seen while crawling. Urls that are null or have no ``://`` have
     empty host and path, fit no rule and have no links: allow. Rows that repeat a url are judged alike; an empty table
     gives an empty one. The components are computed with a table of nodes in the shared folder; only nodes with links
@@ -80,8 +80,11 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     found = cut(found)
     judged = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"), node(F.col(url_col)).alias("node")).withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
     ends = found.select(F.col("src").alias("node"), "url").unionByName(found.select(F.col("dst").alias("node"), F.col("target").alias("url")))
-    said = ends.select("node", rule_of(host(F.col("url")), path(F.col("url")), rules)["verdict"].alias("v")).where("v IS NOT NULL").groupBy("node").agg(F.max((F.col("v") == "allow").cast("int")).alias("a"))
     of = components(found)
+    # A node's pages may be written otherwise than at the links' ends (a closing slash), and fit other rules.
+    ruled = judged.select("node", F.col("r.verdict").alias("v")).where("v IS NOT NULL AND node IS NOT NULL")
+    spoken = ends.select("node", rule_of(host(F.col("url")), path(F.col("url")), rules)["verdict"].alias("v")).where("v IS NOT NULL").unionByName(ruled)
+    said = spoken.groupBy("node").agg(F.max((F.col("v") == "allow").cast("int")).alias("a"))
     whole = cut(of.join(said, "node").groupBy("component").agg(F.max("a").alias("a")))
     alias = of.join(whole, "component").select(F.col("node").alias("n"), F.when(F.col("a") == 1, "allow").otherwise("block").alias("shared"))
     out = judged.join(alias, F.col("node") == F.col("n"), "left")

@@ -246,6 +246,25 @@ def test_url_rules_and_aliases(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_every_page_of_a_node_has_its_say_as_in_sql(spark):
+    import duckdb
+
+    page = lambda href: f'<html><link rel="canonical" href="{href}"></html>'
+    rows = [
+        (1, "https://x.com/de/", None), (2, "https://b.net/p", page("https://x.com/de")), (3, "https://x.com/de", ""),
+        (4, "https://a.org/", ""), (5, "https://c.net/q", page("https://a.org")), (6, "https://d.net/r", page("https://c.net/q")), (7, "https://d.net/r", page("https://x.com/de")),
+        (8, "https://y.com/de/", None), (9, "https://e.net/s", page("https://f.net/t")), (10, None, None),
+    ]
+    got = {r.id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows[:3] + rows[7:], "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 8: "block", 9: "allow", 10: "allow"}
+    got = {r.id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1][3] == "block" and {got[k][3] for k in (2, 3, 4, 5, 6, 7)} == {"allow"}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert {r[0]: r[1:] for r in con.execute(url_filter.ORACLE_SQL).fetchall()} == got
+
+
 # --- 7 SimHash ------------------------------------------------------------------------------------------------------
 
 
