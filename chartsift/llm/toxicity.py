@@ -142,7 +142,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float, penalty: float = 1.0)
 
 def _dictionaries(texts: list[bytes], labels: np.ndarray) -> tuple[bytes, bytes]:
     """Raw contents of the toxic and of the ordinary dictionary."""
-    different = {(t[:48], l): t for t, l in zip(texts, labels)}  # one of each group of copies
+    different = {(t, l): t for t, l in zip(texts, labels)}  # one of each group of copies, told by the whole text
     kinds = [[t for (_, l), t in different.items() if l == k] for k in (0, 1)]
     share = []
     for own in kinds:

@@ -87,6 +87,14 @@ def test_toxicity_with_one_class_or_no_labels(spark):
         assert [round(r.score, 6) for r in toxicity.score(docs.drop("score"), model).collect()] == [want, want]
 
 
+def test_texts_with_one_header_all_teach():
+    rnd = random.Random(12)
+    header = b"the same header of this source opens each of its texts, long as it is: "
+    texts = [header + " ".join([*prose(rnd, 30), *(["zlorgblatt quuxvex"] if k % 2 else []), *prose(rnd, 30)]).encode() for k in range(80)]
+    toxic, plain = toxicity._dictionaries(texts, np.arange(80) % 2)
+    assert b"zlorgblat" in toxic and b"zlorgblat" not in plain
+
+
 # --- 2 token counts -------------------------------------------------------------------------------------------------
 
 
