@@ -10,7 +10,6 @@ n-grams need more probes, unseen ones one, and an error can only overstate a cou
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +17,15 @@ from pyspark.sql import functions as F
 from .common import cut, table
 from .simhash import mix
 
-#: A broadcast's size is bounded: beyond it the filter is sent and probed in more parts, each of whole shards.
-MAX_FILTER_BYTES = 48 << 20
+#: A broadcast's size is bounded: beyond it the filter is sent and probed in more parts, each of whole shards. A filter of
+#: more than MAX_PARTS parts stays in its table, and n-grams are sent to their shards instead.
+MAX_FILTER_BYTES, MAX_PARTS = 24 << 20, 8
 #: Bits for each (n-gram, level) item (half as many again are given), and probes for each item.
 BITS_PER_ITEM, PROBES = 8, 3
-#: Text bytes that one bucket of documents holds on average.
-BUCKET_BYTES = 6 << 20
+#: Text bytes that one bucket of documents holds on average, and most partitions that buckets are dealt into.
+BUCKET_BYTES, MOST_PARTITIONS = 6 << 20, 50_000
+#: Text bytes for each shard of counts, and most shards.
+SHARD_BYTES, MOST_SHARDS = 2 << 20, 1 << 16
 #: N-grams that a task holds before it hands its counts on.
 HELD = 2_000_000
 #: Weight of the word model in the interpolation with the pair model.
@@ -159,20 +161,28 @@ def fill(h: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def _pack(h: np.ndarray, counts: np.ndarray, shards: int) -> pd.DataFrame:
-    """A row for each shard: its hashes (in order) and counts as bytes; the low 18 bits are zero and not stored."""
-    order = np.argsort(h, kind="stable")
-    h, counts = h[order], counts[order]
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as bytes, all first bytes first, then all second ones: like bytes lie together, so that they compress."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def from_planes(b: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def by_shard(h: np.ndarray, shards: int) -> list[tuple[int, slice]]:
+    """Each shard in sorted hashes with its run; a shard is a hash's top bits, so that runs follow the order."""
     at = np.searchsorted(shard_of(h, shards), np.arange(shards + 1, dtype=np.uint64))
-    rows = [(s, (h[a:b] >> np.uint64(48)).astype("<u2").tobytes() + (h[a:b] >> np.uint64(18)).astype("<u4").tobytes(), counts[a:b].astype("<u4").tobytes()) for s, (a, b) in enumerate(zip(at, at[1:])) if b > a]
-    return pd.DataFrame(rows, columns=["shard", "h", "n"])
+    return [(int(s), slice(int(at[s]), int(at[s + 1]))) for s in np.nonzero(np.diff(at))[0]]
 
 
-def _unpack(h: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.frombuffer(n, "<u4").astype(np.int64)
-    top = np.frombuffer(h, "<u2", len(counts)).astype(np.uint64)
-    low = np.frombuffer(h, "<u4", len(counts), 2 * len(counts)).astype(np.uint64)
-    return (top << np.uint64(48)) | ((low & np.uint64((1 << 30) - 1)) << np.uint64(18)), counts
+def _packed(h: np.ndarray, counts: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A row for each shard of sorted hashes: the hashes and their counts as bytes."""
+    runs = by_shard(h, shards)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([s for s, _ in runs], pa.int32()), pa.array([planes(h[r]) for _, r in runs], pa.binary()), pa.array([planes(counts[r]) for _, r in runs], pa.binary())], ["shard", "h", "n"]
+    )
 
 
 def _summed(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,36 +192,37 @@ def _summed(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def gather(train: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """Over all training texts: ``(word, n)`` exact counts by word hash, and ``(shard, h, n)`` packed counts of pairs."""
+def _merged(own: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of a shard's packed rows."""
+    h = np.concatenate([from_planes(b, "<u8") for b in own.column("h").to_pylist()])
+    return _summed(h, np.concatenate([from_planes(b, "<i8") for b in own.column("n").to_pylist()]))
 
-    def held_counts(batches, of):
-        held, size = [], 0
-        for batch in batches:
-            h = of(*hashed_tokens(batch.column("text")))
-            if len(h):
-                held.append(h)
-                size += len(h)
-            if size > HELD:
-                held, size = [_summed(np.concatenate(held), np.ones(size, np.int64))], 0
-                yield held.pop()
-        if size:
-            yield _summed(np.concatenate(held), np.ones(size, np.int64))
-
-    def unigrams(batches):
-        for h, n in held_counts(batches, lambda h, _: h):
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["word", "n"])
+
+def gather(train: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """Over all training texts: packed counts ``(shard, h, n)`` of words (exact, full hashes) and of word pairs."""
+
+    def counted(of):
+        def work(batches):
+            held, size = [], 0
+            for batch in batches:
+                h = of(*hashed_tokens(batch.column("text")))
+                if len(h):
+                    held.append(h)
+                    size += len(h)
+                if size > HELD:
+                    held, size = [_summed(np.concatenate(held), np.ones(size, np.int64))], 0
+                    yield _packed(*held.pop(), shards)
+            if size:
+                yield _packed(*_summed(np.concatenate(held), np.ones(size, np.int64)), shards)
+
+        return work
 
     def own_pairs(h: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         pairs = pair_hash(h[:-1], h[1:])
         return np.delete(pairs, np.cumsum(lengths)[:-1] - 1) if len(lengths) else pairs
 
-    def pairs(batches):
-        for h, n in held_counts(batches, own_pairs):
-            yield pa.RecordBatch.from_pandas(_pack(h, n, shards), schema=pa.schema([("shard", pa.int32()), ("h", pa.binary()), ("n", pa.binary())]))
-
-    words = train.select("text").mapInArrow(unigrams, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return words, train.select("text").mapInArrow(pairs, "shard int, h binary, n binary")
+    schema = "shard int, h binary, n binary"
+    return train.select("text").mapInArrow(counted(lambda h, _: h), schema), train.select("text").mapInArrow(counted(own_pairs), schema)
 
 
 def parts_of(sizes: np.ndarray, max_bytes: int) -> list[tuple[int, int]]:
@@ -225,87 +236,124 @@ def parts_of(sizes: np.ndarray, max_bytes: int) -> list[tuple[int, int]]:
     return [*out, (at, len(sizes))]
 
 
-def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES) -> tuple[FilterInParts, DataFrame, int, int]:
-    """Filter, exact word counts, all tokens and different tokens of ``train(text)``.
+def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES, max_parts: int = MAX_PARTS) -> tuple[FilterInParts | None, DataFrame, DataFrame, int, int, int]:
+    """Filter (None: too large to send), its table ``(shard, bits)``, exact word counts ``(shard, h, n)``, all tokens,
+    different tokens and the number of shards of ``train(text)``.
 
-    Shards grow with the text (2 MB each, a power of two up to 4096), so that a task merges a bounded part. A shard has
+    Shards grow with the text (a power of two up to ``MOST_SHARDS``), so that a task merges a bounded part. A shard has
     ``BITS_PER_ITEM`` bits and a half for each of its items, however many there are. Counts are merged and turned to bits in
-    the task that gets them; the driver gathers and broadcasts shards of ``max_bytes`` at a time.
+    the task that gets them; the driver gathers and broadcasts shards of ``max_bytes`` at a time, ``max_parts`` times at most.
     """
-    shards = 1 << min(12, max(3, (text_bytes >> 21).bit_length()))
-    words, packed = gather(train, shards)
-    words = cut(words)
-    total, different = words.agg(F.sum("n"), F.count("*")).first()
+    shards = min(MOST_SHARDS, 1 << max(3, (text_bytes // SHARD_BYTES).bit_length()))
+    words, pairs = gather(train, shards)
+
+    def summed(own: pa.Table) -> pa.Table:
+        h, n = _merged(own)
+        return pa.table({"shard": own.column("shard")[:1], "h": pa.array([planes(h)], pa.binary()), "n": pa.array([planes(n)], pa.binary()), "total": [int(n.sum())], "different": [len(n)]})
+
+    words = cut(words.groupBy("shard").applyInArrow(summed, "shard int, h binary, n binary, total long, different long"))
+    total, different = words.agg(F.sum("total"), F.sum("different")).first()
 
     def word_items(batches):
-        for df in batches:
-            h = df["word"].to_numpy(np.int64).view(np.uint64)
-            yield _pack(word_hash(h), df["n"].to_numpy().clip(max=2**32 - 1), shards)
+        for batch in batches:
+            for h, n in zip(batch.column("h").to_pylist(), batch.column("n").to_pylist()):
+                yield _packed(*_summed(word_hash(from_planes(h, "<u8")), from_planes(n, "<i8")), shards)
 
-    def merged(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        own = [_unpack(h, n) for h, n in zip(df["h"], df["n"])]
-        h, n = _summed(np.concatenate([x[0] for x in own]), np.concatenate([x[1] for x in own]))
+    def filled(own: pa.Table) -> pa.Table:
+        h, n = _merged(own)
         items = float((1 + np.floor(np.log2(n))).sum())
         size = int(max(4096, 1.5 * items * BITS_PER_ITEM)) // 8 * 8
-        return pd.DataFrame({"shard": [key[0]], "bits": [fill(h, n, size).tobytes()]})
+        return pa.table({"shard": own.column("shard")[:1], "bits": pa.array([fill(h, n, size).tobytes()], pa.binary())})
 
-    own = words.mapInPandas(word_items, "shard int, h binary, n binary")
-    made = cut(packed.unionByName(own).groupBy("shard").applyInPandas(merged, "shard int, bits binary"))
-    sizes, parts = np.zeros(shards, np.int64), []
+    items = pairs.unionByName(words.select("shard", "h", "n").mapInArrow(word_items, "shard int, h binary, n binary"))
+    made = cut(items.groupBy("shard").applyInArrow(filled, "shard int, bits binary"))
+    sizes = np.zeros(shards, np.int64)
     for r in made.select("shard", F.length("bits").alias("n")).collect():
         sizes[r.shard] = r.n * 8
-    for a, b in parts_of(sizes, max_bytes):
+    runs, parts = parts_of(sizes, max_bytes), []
+    for a, b in runs if len(runs) <= max_parts else []:
         of = np.where((np.arange(shards) >= a) & (np.arange(shards) < b), sizes, 0)
         starts = np.r_[0, np.cumsum(of[:-1]) // 8].astype(np.int64)
         bits = np.zeros(int(of.sum()) // 8, np.uint8)
         for r in made.where(F.col("shard").between(a, b - 1)).collect():
             bits[starts[r.shard] : starts[r.shard] + len(r.bits)] = np.frombuffer(r.bits, np.uint8)
         parts.append(train.sparkSession.sparkContext.broadcast((bits, starts, of)))
-    return FilterInParts(parts), words, int(total or 0), int(different)
+    return FilterInParts(parts) if parts else None, made, words, int(total or 0), int(different or 0), shards
+
 
+def asked_for(h: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's texts: different words, and different n-grams as the filter knows them with each token's place in these
+    and each neighbouring pair's, so that counts in their order can be laid out again."""
+    words, at = np.unique(h, return_inverse=True)
+    grams, places = np.unique(np.concatenate([word_hash(words), pair_hash(h[:-1], h[1:])]), return_inverse=True)
+    return words, grams, np.concatenate([places[: len(words)][at], places[len(words) :]])
 
-def log_probabilities(h: np.ndarray, first: np.ndarray, model: FilterInParts, total: int, different: int) -> np.ndarray:
-    """log10 probability of each token of a run of texts given the one before it; ``first`` marks a text's start.
+
+def log_probabilities(counts: np.ndarray, n: int, first: np.ndarray, total: int, different: int) -> np.ndarray:
+    """log10 probability of each of the ``n`` tokens of a run of texts given the one before it; ``first`` marks a text's
+    start; ``counts`` are the filter's for each token, then for each pair of neighbours.
 
     The smoothed word model and the pairs' relative frequency are interpolated; both come from the filter's estimated
-    counts alone. After an unseen word, and at a text's start, the word model stands alone. Each different word and
-    pair of the run is probed once.
+    counts alone. After an unseen word, and at a text's start, the word model stands alone.
     """
-    different_words, where = np.unique(h, return_inverse=True)
-    found, pair_at = np.unique(pair_hash(h[:-1], h[1:]), return_inverse=True)
-    counts = model.count(np.concatenate([word_hash(different_words), found]))
-    word = counts[: len(different_words)][where]
+    word = counts[:n]
     p = (word + 0.1) / (total + 0.1 * (different + 1))
-    if len(h) > 1:
-        pair = np.minimum(counts[len(different_words) :][pair_at], np.minimum(word[:-1], word[1:]))
+    if n > 1:
+        pair = np.minimum(counts[n:], np.minimum(word[:-1], word[1:]))
         seen = (word[:-1] > 0) & ~first[1:]
         p[1:] = np.where(seen, (1 - WORD_WEIGHT) * pair / np.maximum(word[:-1], 1) + WORD_WEIGHT * p[1:], p[1:])
     return np.log10(p)
 
 
-def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_FILTER_BYTES, max_parts: int = MAX_PARTS) -> DataFrame:
     """``(id, n_tokens, n_known, train_tokens, base_score, score)`` for each row of ``docs``.
 
-    ``train`` has a column ``text_col`` with the texts to learn from. Exact word counts are joined, not broadcast:
-    documents are dealt into buckets of about ``BUCKET_BYTES``, a bucket's different words meet their counts in a
-    shuffle by word, and come back to the bucket. Null and empty texts are the end token alone; ids may repeat or be
-    null; extra columns play no part; with no training text every count and both scores are 0. Words are told apart by
-    64-bit hashes.
+    ``train`` has a column ``text_col`` with the texts to learn from. Exact word counts are never broadcast: documents are
+    dealt into buckets of about ``BUCKET_BYTES``, a bucket's different words go to their shards as sorted hashes, and their
+    counts alone come back, in the same order. A filter of more than ``max_parts`` broadcasts is asked in the same way.
+    Null and empty texts are the end token alone; ids may repeat or be null (rows with one id and text share a bucket);
+    extra columns play no part; with no training text every count and both scores are 0; an empty table gives an empty
+    one. Words are told apart by 64-bit hashes.
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    model, words, total, different = build(train.select(F.col(text_col).alias("text")), size, max_bytes)
+    model, made, words, total, different, shards = build(train.select(F.col(text_col).alias("text")), size, max_bytes, max_parts)
     buckets = max(1, size // BUCKET_BYTES)
-    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.length(text_col)), F.lit(buckets)).cast("int").alias("bucket")).repartition(int(buckets), "bucket")
-
-    def asked(batches):
-        for batch in batches:
-            h, lengths = hashed_tokens(batch.column("text"))
-            of = np.repeat(batch.column("bucket").to_numpy(zero_copy_only=False), lengths)
-            for b in np.unique(of):
-                own = np.unique(h[of == b]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), b, np.int32))], ["word", "bucket"])
+    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(buckets)).cast("int").alias("bucket")).repartition(int(min(buckets, MOST_PARTITIONS)), "bucket")
+    sent = model is not None
 
-    known = dealt.mapInArrow(asked, "word long, bucket int").join(words, "word").select("bucket", "word", "n")
+    def asked(own: pa.Table) -> pa.Table:
+        h, lengths = hashed_tokens(own.column("text"))
+        different_words, grams, _ = asked_for(h, lengths) if not sent else (np.unique(h), None, None)
+        rows = [(kind, s, planes(x[r])) for kind, x in ((0, different_words), (1, grams)) if x is not None for s, r in by_shard(x, shards)]
+        bucket = own.column("bucket")[0].as_py() if len(own) else 0
+        return pa.table({"bucket": pa.array([bucket] * len(rows), pa.int32()), "kind": pa.array([r[0] for r in rows], pa.int32()), "shard": pa.array([r[1] for r in rows], pa.int32()), "h": pa.array([r[2] for r in rows], pa.binary())})
+
+    def answers(asked_: pa.Table, n_of) -> pa.Table:
+        n = [planes(n_of(from_planes(h, "<u8"))) for h in asked_.column("h").to_pylist()]
+        return pa.table({"bucket": asked_.column("bucket"), "kind": asked_.column("kind"), "shard": asked_.column("shard"), "n": pa.array(n, pa.binary())})
+
+    def exact(asked_: pa.Table, counts: pa.Table) -> pa.Table:
+        h, n = _merged(counts) if len(counts) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        h, n = np.r_[h, np.uint64(2**64 - 1)], np.r_[n, 0]
+
+        def look(own: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(h[:-1], own)
+            return np.where(h[at] == own, n[at], 0)
+
+        return answers(asked_, look)
+
+    def estimated(asked_: pa.Table, filters: pa.Table) -> pa.Table:
+        sizes = np.zeros(shards, np.int64)
+        bits = np.zeros(0, np.uint8)
+        for s, b in zip(filters.column("shard").to_pylist(), filters.column("bits").to_pylist()):
+            bits, sizes[s] = np.frombuffer(b, np.uint8), len(b) * 8
+        own = LogFrequencyFilter(bits, np.zeros(shards, np.int64), sizes)
+        return answers(asked_, lambda h: (2 * own.count(h)).astype(np.int64) if len(bits) else np.zeros(len(h), np.int64))
+
+    wanted, answer = dealt.groupBy("bucket").applyInArrow(asked, "bucket int, kind int, shard int, h binary"), "bucket int, kind int, shard int, n binary"
+    known = wanted.where("kind = 0").groupBy("shard").cogroup(words.select("shard", "h", "n").groupBy("shard")).applyInArrow(exact, answer)
+    if not sent:
+        known = known.unionByName(wanted.where("kind = 1").groupBy("shard").cogroup(made.groupBy("shard")).applyInArrow(estimated, answer))
     floor = np.log10(total + 0.1 * (different + 1))
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -317,20 +365,24 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
         starts = np.r_[0, np.cumsum(lengths)[:-1]]
         first = np.zeros(len(h), bool)
         first[starts] = True
-        word = counts.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(word)
-        word, count = np.r_[word[order], np.uint64(2**64 - 1)], np.r_[counts.column("n").to_numpy()[order], 0]
-        at = np.searchsorted(word[:-1], h)
-        n = np.where(word[at] == h, count[at], 0)
-        base, lm_score = (np.log10(n + 0.1) - floor, log_probabilities(h, first, model, total, different)) if total else (np.zeros(len(h)), np.zeros(len(h)))
+        back: list[list] = [[], []]
+        for _, kind, n in sorted(zip(counts.column("shard").to_pylist(), counts.column("kind").to_pylist(), counts.column("n").to_pylist())):
+            back[kind].append(from_planes(n, "<i8"))
+        n = np.concatenate(back[0])[np.unique(h, return_inverse=True)[1]]
+        base = lm_score = np.zeros(len(h))
+        if total:
+            base = np.log10(n + 0.1) - floor
+            _, grams, places = asked_for(h, lengths)
+            estimate = model.count(grams) if sent else np.concatenate(back[1]) / 2
+            lm_score = log_probabilities(estimate[places], len(h), first, total, different)
         return pa.table({"id": own.column("id"), "n_tokens": lengths, "n_known": np.add.reduceat((n > 0).astype(np.int64), starts), "train_tokens": np.full(len(lengths), total, np.int64), "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(lm_score, starts)})
 
     return dealt.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(scored, schema)
 
 
 def op4_bloom_lm(spark, sf_dir: str) -> DataFrame:
-    """Contract query: all of ``documents``, learning from those whose crc32(doc_id) mod 10 isn't 0."""
+    """Contract query: all of ``documents``, learning from those whose crc32(doc_id) mod 10 isn't 0 (nor null)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     out = score(docs, docs.where(F.coalesce(~held_out, F.lit(False))))
-    return out.select(F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 10 == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(F.crc32(F.col("id").cast("string")) % 10 == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
