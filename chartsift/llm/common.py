@@ -61,11 +61,26 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), SPACE), lambda w: w != "")
 
 
+def _with_least(of: DataFrame, edges: DataFrame, hub: int) -> DataFrame:
+    """``edges`` with ``m``, the smallest of u and its neighbours in ``of``."""
+    least = of.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    hubs = least.where(F.col("n") > hub).select("u", F.col("m").alias("h"))
+    marked = edges.join(F.broadcast(hubs), "u", "left")
+    rest = marked.where("h IS NULL").select("u", "v").join(least.where(F.col("n") <= hub).select("u", "m"), "u")
+    return rest.unionByName(marked.where("h IS NOT NULL").select("u", "v", F.col("h").alias("m")))
+
+
+#: Edges of a node from which it is a hub.
+HUB = 200
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected graph: ``(node, component)``, the component being its smallest node.
 
     Alternating large-star and small-star steps: each is one minimum per node (partial aggregation before the
-    shuffle, so a hub costs one row per map task) and one join on the node, which adaptive execution may split.
+    shuffle, so a hub costs one row per map task), which then meets the node's edges: by a join on the node, or, for hubs
+    of over ``HUB`` edges (or a 100,000th of all), by a broadcast, so that a hub's edges are never dealt to one task. With
+    E edges there are at most 200,000 such hubs, and the broadcast has 16 bytes for each.
     Rounds grow with the logarithm of the longest path. Every round is cut by a checkpoint in the shared folder, so
     nothing is recomputed when an executor goes. Nodes without edges don't occur in the result; null ends are dropped;
     loops and repeated edges make no difference; an empty edge table gives an empty result.
@@ -78,10 +93,11 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
             break
         before = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        hub = max(HUB, now[0] // 100_000)
+        large = _with_least(both, both.where("v > u"), hub).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = cut(large)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _with_least(large, large, hub).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut(small.unionByName(down.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
