@@ -18,14 +18,19 @@ from .common import table
 
 #: Most labelled rows of each class that are learned from: the bound on what the driver gathers.
 SAMPLE = 3000
-#: ... and most bytes of text of each class.
+#: ... and most bytes of text of each class; a text that would pass the bound is left out as a whole.
 SAMPLE_BYTES = 48 << 20
-WINDOWS, GRAM = (32, 48, 64), 5
-#: Byte strings of GRAM bytes typical of a class that its dictionary is trained on.
-TYPICAL = 1500
-BASE_BYTES, OWN_BYTES = 12288, 6144
+#: Widths of the windows, and lengths of the byte strings that tell the classes apart.
+WINDOWS, GRAMS = (32, 48, 64), (5, 8)
+#: Byte strings of each length typical of a class that its dictionary is trained on, and how much more frequent they are.
+TYPICAL, TYPICAL_RATE = 400, 6
+#: Pieces of ordinary text, evenly spaced over the whole sample, that the shared base is trained on.
+BASE_PIECES = 20_000
+BASE_BYTES, OWN_BYTES = 12288, 1024
 #: Gains (bytes saved under the toxic dictionary) from which a window counts.
 STEPS = (1, 2, 3, 4, 6)
+#: The filter's threshold costs at most this share of ordinary labelled documents, out of fold.
+CLEAN_LOSS = 0.01
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +53,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
 
 def compressor(content: bytes) -> zstd.ZstdCompressor:
     d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
-    p = zstd.ZstdCompressionParameters(compression_level=1, min_match=4, strategy=zstd.STRATEGY_DFAST, hash_log=15, chain_log=15, window_log=17, write_content_size=0, write_checksum=0, write_dict_id=0)
+    p = zstd.ZstdCompressionParameters(compression_level=1, min_match=3, strategy=zstd.STRATEGY_LAZY2, search_log=6, target_length=64, hash_log=15, chain_log=15, window_log=17, write_content_size=0, write_checksum=0, write_dict_id=0)
     d.precompute_compress(compression_params=p)
     return zstd.ZstdCompressor(compression_params=p, dict_data=d)
 
@@ -64,12 +69,43 @@ def compressed_lengths(c: zstd.ZstdCompressor, data: bytes, segments: np.ndarray
     return np.concatenate(parts) if parts else np.empty(0, np.int32)
 
 
-def grams(text: bytes) -> np.ndarray:
-    """The different GRAM-byte strings of a text, as numbers."""
-    if len(text) < GRAM:
+def grams(text: bytes, n: int) -> np.ndarray:
+    """The byte string of length ``n`` (8 at most) at each place of a text, as a number."""
+    if len(text) < n:
         return np.empty(0, np.uint64)
     b = np.frombuffer(text, np.uint8).astype(np.uint64)
-    return np.unique(sum(b[k : len(b) - GRAM + 1 + k] << np.uint64(8 * k) for k in range(GRAM)))
+    return sum(b[k : len(b) - n + 1 + k] << np.uint64(8 * k) for k in range(n))
+
+
+def typical(kinds: list[list[bytes]], n: int) -> list[np.ndarray]:
+    """For each class the ``TYPICAL`` byte strings of length ``n`` that speak most for it, sorted.
+
+    Counted in as many parts of the strings as keep a part to about 8 M of them, so that memory stays bounded.
+    """
+    parts = 1 + sum(len(t) for own in kinds for t in own) // (8 << 20)
+    best: list[list] = [[], []]
+    for part in range(parts):
+        share = []
+        for own in kinds:
+            held = []
+            for t in own:
+                g = np.unique(grams(t, n))
+                held.append(g[g % np.uint64(parts) == part] if parts > 1 else g)
+            share.append(np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True))
+        for k in (0, 1):
+            (found, count), (other, against) = share[k], share[1 - k]
+            at = np.searchsorted(other, found).clip(max=max(0, len(other) - 1))
+            there = np.where(other[at] == found, against[at], 0) if len(other) else np.zeros(len(found))
+            rate = (count / max(1, len(kinds[k]))) / ((there + 0.5) / max(1, len(kinds[1 - k])))
+            good = (count >= max(3, 0.004 * len(kinds[k]))) & (rate >= TYPICAL_RATE)
+            weight = count[good] * np.log(rate[good])
+            order = np.argsort(-weight, kind="stable")[:TYPICAL]
+            best[k].append(np.stack([found[good][order], weight[order].view(np.uint64)]))
+    out = []
+    for own in best:
+        found, weight = np.concatenate(own, axis=1)
+        out.append(np.sort(found[np.argsort(-weight.view(np.float64), kind="stable")[:TYPICAL]]))
+    return out
 
 
 def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
@@ -89,8 +125,8 @@ def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
 class Model:
     """Two dictionaries and the calibration; small and fixed in size, so it can be sent to every worker."""
 
-    def __init__(self, toxic: bytes, plain: bytes, weights: np.ndarray, centre: np.ndarray, scale: np.ndarray):
-        self.toxic, self.plain, self.weights, self.centre, self.scale = toxic, plain, weights, centre, scale
+    def __init__(self, toxic: bytes, plain: bytes, weights: np.ndarray, centre: np.ndarray, scale: np.ndarray, threshold: float = 0.5):
+        self.toxic, self.plain, self.weights, self.centre, self.scale, self.threshold = toxic, plain, weights, centre, scale, threshold
         self._pair: tuple | None = None
 
     def __getstate__(self):
@@ -118,8 +154,11 @@ class Model:
         return np.stack(rows, axis=1)
 
     def score(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
-        x = (self.features(data, offsets) - self.centre) / self.scale
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -30, 30)))
+        return _apply((self.features(data, offsets) - self.centre) / self.scale, self.weights)
+
+
+def _apply(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ weights[1:] + weights[0], -30, 30)))
 
 
 def _flat(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
@@ -144,33 +183,23 @@ def _dictionaries(texts: list[bytes], labels: np.ndarray) -> tuple[bytes, bytes]
     """Raw contents of the toxic and of the ordinary dictionary."""
     different = {(t, l): t for t, l in zip(texts, labels)}  # one of each group of copies, told by the whole text
     kinds = [[t for (_, l), t in different.items() if l == k] for k in (0, 1)]
-    share = []
-    for own in kinds:
-        found, n = np.unique(np.concatenate([grams(t) for t in own] or [np.empty(0, np.uint64)]), return_counts=True)
-        share.append((found, n))
-    base = _trained([t[a : a + 512] for t in kinds[0] for a in range(0, len(t), 512)][:20000], BASE_BYTES, 48)
-    own = []
+    pieces = [(t, a) for t in kinds[0] for a in range(0, len(t), 512)]
+    pick = np.unique(np.linspace(0, len(pieces) - 1, min(len(pieces), BASE_PIECES)).astype(int)) if pieces else []
+    base = _trained([pieces[i][0][pieces[i][1] : pieces[i][1] + 512] for i in pick], BASE_BYTES, 48)
+    of, own = {n: typical(kinds, n) for n in GRAMS}, []
     for k in (1, 0):
-        found, n = share[k]
-        other, m = share[1 - k]
-        at = np.searchsorted(other, found).clip(max=max(0, len(other) - 1))
-        there = np.where(other[at] == found, m[at], 0) if len(other) else np.zeros(len(found))
-        rate = (n / max(1, len(kinds[k]))) / ((there + 0.5) / max(1, len(kinds[1 - k])))
-        typical = (n >= max(3, 0.004 * len(kinds[k]))) & (rate >= 6)
-        found, weight = found[typical], n[typical]
-        best = np.argsort(-weight * np.log(rate[typical]), kind="stable")[:TYPICAL]
-        found = np.sort(found[best])
         samples = []
         for t in kinds[k]:
-            if len(t) < GRAM or not len(found):
-                continue
-            b = np.frombuffer(t, np.uint8).astype(np.uint64)
-            g = sum(b[j : len(b) - GRAM + 1 + j] << np.uint64(8 * j) for j in range(GRAM))
-            at = np.searchsorted(found, g).clip(max=len(found) - 1)
-            hit = np.nonzero(found[at] == g)[0]
-            for h in np.split(hit, np.nonzero(np.diff(hit) > 1)[0] + 1):
-                if len(h):
-                    samples.append(t[h[0] : h[-1] + GRAM][:24])
+            mark = np.zeros(len(t) + 1, np.int32)
+            for n in GRAMS:
+                found, g = of[n][k], grams(t, n)
+                if len(found) and len(g):
+                    hit = np.nonzero(found[np.searchsorted(found, g).clip(max=len(found) - 1)] == g)[0]
+                    mark[hit] += 1
+                    mark[hit + n] -= 1
+            edges = np.flatnonzero(np.diff(np.r_[0, (np.cumsum(mark)[:-1] > 0).astype(np.int8), 0]))
+            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                samples += [t[x : min(b, x + 24)] for x in range(a, b, 24)]
         own.append(_trained(samples, OWN_BYTES, 16))
     return base + own[0], base + own[1]
 
@@ -186,7 +215,7 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None) -> Mo
     if len(set(labels)) < 2:
         n = (len(STEPS) * 2 + 3) * len(WINDOWS)
         return Model(b" " * (BASE_BYTES + OWN_BYTES), b" " * (BASE_BYTES + OWN_BYTES), np.r_[(30.0 if y.mean() > 0.5 else -30.0) if len(y) else -30.0, np.zeros(n)], np.zeros(n), np.ones(n))
-    half = np.array([zstd_hash(t) & 1 for t in texts])
+    half = np.array([fold(t) for t in texts])
     rows = []
     for k in (0, 1):
         learn = [i for i in range(len(texts)) if half[i] != k]
@@ -196,12 +225,21 @@ def fit(texts: list[bytes], labels: list[int], share: float | None = None) -> Mo
     order, x = np.concatenate([r[0] for r in rows]).astype(int), np.concatenate([r[1] for r in rows])
     y_x = y[order]
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Model(*_dictionaries(texts, y), _logistic((x - centre) / scale, y_x, share or y.mean()), centre, scale)
+    x, share = (x - centre) / scale, share or y.mean()
+    # each half judged by weights of the other: scores that no text had a part in
+    out = np.empty(len(y))
+    for k in (0, 1):
+        own = half[order] == k
+        out[own] = _apply(x[own], _logistic(x[~own], y_x[~own], share) if len(set(y_x[~own])) == 2 else np.zeros(x.shape[1] + 1))
+    clean = np.sort(out[y_x == 0])
+    threshold = max(0.5, float(clean[min(len(clean) - 1, int(np.ceil((1 - CLEAN_LOSS) * len(clean))))]) + 1e-12)
+    return Model(*_dictionaries(texts, y), _logistic(x, y_x, share), centre, scale, threshold)
 
 
-def zstd_hash(text: bytes) -> int:
-    """Half of a text: by its first 64 letters' sum, so that most near copies share a half."""
-    return int(np.frombuffer(text[:64], np.uint8).sum()) if text else 0
+def fold(text: bytes) -> int:
+    """Half of a text: by the smallest hash of its byte strings, so that most near copies share a half."""
+    g = grams(text, GRAMS[-1])
+    return int((g * np.uint64(0x9E3779B97F4A7C15)).min() >> np.uint64(7)) & 1 if len(g) else 0
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -230,7 +268,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a double column ``name`` (0 to 1) more; one narrow stage over whole texts.
 
-    Null and empty texts get the calibration's value for no windows; every other column passes through untouched.
+    Null and empty texts get the calibration's value for no windows; rows that repeat are scored alike, an empty table
+    stays empty. Every other column passes through untouched; one that is called ``name`` already is replaced in its place.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -246,7 +285,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
-    """Contract query: learns from labelled rows whose crc32(doc_id) mod 5 isn't 0, scores all of ``documents``."""
+    """Contract query: learns from labelled rows whose crc32(doc_id) mod 5 isn't 0, scores all of ``documents``.
+
+    Null and empty texts are scored too (as no windows); a null doc_id isn't held out; repeated rows each have a row.
+    """
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = learn(docs, labels.where(~held_out))
@@ -254,8 +296,13 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """Keeps the rows of ``docs`` that score below ``threshold`` (high, since clean documents should stay); columns as they
-    were."""
-    name = "toxic_score__"
-    return score(docs, learn(docs, labels), name=name).where(F.col(name) < threshold).drop(name)
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Keeps the rows of ``docs`` that score below ``threshold``; columns as they were.
+
+    Without one, the threshold is the smallest from 0.5 on at which no more than ``CLEAN_LOSS`` of the ordinary labelled
+    texts would go, by scores of the half that had no part in the dictionaries and weights. Null and empty texts have no
+    windows and stay unless most labelled texts are toxic; repeated rows are judged alike; an empty table, or labels of
+    one class, reject nothing that the one class doesn't.
+    """
+    name, model = "toxic_score__", learn(docs, labels)
+    return score(docs, model, name=name).where(F.col(name) < (model.threshold if threshold is None else threshold)).drop(name)

@@ -29,7 +29,8 @@ def prose(rnd, n, words=400):
 # --- shared ---------------------------------------------------------------------------------------------------------
 
 
-def test_components_match_union_find(spark):
+@pytest.mark.parametrize("hub", [common.HUB, 2])
+def test_components_match_union_find(spark, monkeypatch, hub):
     rnd = random.Random(4)
     edges = [(rnd.randint(0, 60), rnd.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7), (None, 3), (200, 201), (200, 201)]
     parent = {}
@@ -44,6 +45,7 @@ def test_components_match_union_find(spark):
         if a is not None and b is not None and a != b:
             ra, rb = root(a), root(b)
             parent[max(ra, rb)] = min(ra, rb)
+    monkeypatch.setattr(common, "HUB", hub)
     got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == {x: root(x) for x in parent}
     assert common.components(spark.createDataFrame([], "src long, dst long")).count() == 0
@@ -205,9 +207,45 @@ def test_filter_in_parts_scores_as_one_broadcast_does(spark):
     rnd = random.Random(8)
     docs = docs_of(spark, [(i, " ".join(prose(rnd, 200, 3000))) for i in range(60)])
     train = docs.where("doc_id % 10 <> 0")
-    whole, parted = ({r.id: r.score for r in bloom_lm.score(docs, train, **most).collect()} for most in ({}, {"max_bytes": 4096}))
-    assert len(whole) == 60 and whole == parted
-    assert len(bloom_lm.build(train.select("text"), 1 << 20, 4096)[0].parts) > 1
+    ways = ({}, {"max_bytes": 4096, "max_parts": 1000}, {"max_bytes": 4096, "max_parts": 1})
+    whole, parted, shuffled = ({r.id: r.score for r in bloom_lm.score(docs, train, **most).collect()} for most in ways)
+    assert len(whole) == 60 and whole == parted == shuffled
+    assert bloom_lm.build(train.select("text"), 1 << 20, 4096, 1)[0] is None
+    assert len(bloom_lm.build(train.select("text"), 1 << 20, 4096, 1000)[0].parts) > 1
+
+
+def test_bloom_lm_score_is_near_a_model_with_quantised_exact_counts(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(prose(rnd, 120, 200))) for i in range(120)] + [(200, "x " * 400_000)]
+    docs = docs_of(spark, rows)
+    tok = lambda t: [*(t or "").encode().lower().split(), b" "]
+    word, pair = {}, {}
+    for i, t in rows:
+        if i % 10:
+            own = tok(t)
+            for x in own:
+                word[x] = word.get(x, 0) + 1
+            for x in zip(own, own[1:]):
+                pair[x] = pair.get(x, 0) + 1
+    n, v = sum(word.values()), len(word)
+
+    def level(c):
+        return 0.0 if not c else 1.0 if c == 1 else 1.5 * 2.0 ** (math.floor(math.log2(c))) - 0.5
+
+    def plain(t):
+        own, total = tok(t), 0.0
+        for k, x in enumerate(own):
+            c = level(word.get(x, 0))
+            p = (c + 0.1) / (n + 0.1 * (v + 1))
+            if k and word.get(own[k - 1]):
+                left = level(word[own[k - 1]])
+                p = 0.5 * min(level(pair.get((own[k - 1], x), 0)), left, c) / left + 0.5 * p
+            total += math.log10(p)
+        return total
+
+    got = {r.id: r.score for r in bloom_lm.score(docs, docs.where("doc_id % 10 <> 0")).collect()}
+    off = [abs(got[i] - plain(t)) / len(tok(t)) for i, t in rows]
+    assert len(got) == len(rows) and sorted(off)[len(off) // 2] < 0.02 and max(off) < 0.1
 
 
 # --- 5 decontamination ----------------------------------------------------------------------------------------------
@@ -341,6 +379,49 @@ def test_near_dedup_stage_keeps_one_of_a_group_and_clean_texts(spark):
     assert simhash.drop_near_duplicates(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_similar_links_connect_all_like_pairs():
+    rnd = np.random.default_rng(3)
+    for _ in range(30):
+        sets = []
+        for _ in range(int(rnd.integers(1, 5))):
+            base = rnd.integers(0, 10_000, 40).astype(np.uint64)
+            for _ in range(int(rnd.integers(1, 25))):
+                own = base.copy()
+                own[rnd.integers(0, 40, int(rnd.integers(0, 12)))] = rnd.integers(0, 10_000)
+                sets.append(np.unique(own))
+                base = own if rnd.random() < 0.5 else base  # chains as well as stars
+        alike = lambda a, b: len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+        want, got = list(range(len(sets))), list(range(len(sets)))
+
+        def tie(label, i, j):
+            label[:] = [label[i] if x == label[j] else x for x in label]
+
+        for i in range(len(sets)):
+            for j in range(i):
+                if alike(sets[i], sets[j]) and want[i] != want[j]:
+                    tie(want, i, j)
+        for i, j in simhash.similar_links(sets, 0.8):
+            assert alike(sets[i], sets[j])
+            tie(got, i, j)
+        assert len({*zip(want, got)}) == len(set(want)) == len(set(got))
+    assert simhash.similar_links([], 0.8) == []
+
+
+@pytest.mark.parametrize("most", [simhash.SETS, 20_000])
+def test_near_dedup_finds_pairs_at_its_threshold_and_keeps_pairs_below(spark, most):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for k in range(300):
+        w = [word() for _ in range(404)]
+        # 400 shingles; m new words in a row at the end change m of them
+        m = 40 if k < 200 else 110
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[: 404 - m], *[word() for _ in range(m)]]))]
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs_of(spark, rows), most=most).select("doc_id").collect()}
+    assert {2 * k for k in range(300)} <= kept and {2 * k + 1 for k in range(200, 300)} <= kept
+    assert len(kept & {2 * k + 1 for k in range(200)}) <= 20  # 360 of 440 shingles are shared: similarity 0.82
+
+
 # --- 8 exact top-k --------------------------------------------------------------------------------------------------
 
 
