@@ -489,6 +489,109 @@ def test_bootstrapping_finds_identifiers_in_learned_contexts(spark):
     assert pii.find(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def plain_bootstrap(texts):
+    """The method with lists and dictionaries: {text number: set of (kind, start, end)} that it adds to the base spans."""
+    base = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def good(k, v):
+        d = re.sub("[^0-9]", "", v)
+        if k == "ip":
+            return all(int(x) < 256 for x in v.split("."))
+        if k == "card":
+            return 16 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else 2 * int(c) - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))) % 10 == 0
+        return k == "email" or 8 <= len(d) <= 15
+
+    def beside(t, a, b):
+        return (t[:a].split() or [""])[-1].lower(), (t[b:].split() or [""])[0].lower()
+
+    seen, places = set(), []
+    for i, t in enumerate(texts):
+        taken = [(k, m.start(), m.end()) for k, (name, p) in enumerate(base.items()) for m in re.finditer(p, t) if good(name, m[0])]
+        ends = {name: [m.span() for m in re.finditer(p, t)] for name, p in base.items()}
+        for k, a, b in taken:
+            spans = ends[list(base)[k]]  # the words beside lie between the expression's matches
+            n = spans.index((a, b))
+            lo, hi = spans[n - 1][1] if n else 0, spans[n + 1][0] if n + 1 < len(spans) else len(t)
+            seen.add((k, t[a:b].lower(), *beside(t[lo:hi], a - lo, b - lo)))
+        words = [(m.start(), m.end(), m[0]) for m in re.finditer(pii.CANDIDATE.replace("++", "+").replace("*+", "*"), t)]
+        for n in range(len(words)):
+            for m in range(n, min(len(words), n + 4)):
+                run = words[n : m + 1]
+                if any(y[0] - x[1] != 1 or t[x[1]] != " " for x, y in zip(run, run[1:])):
+                    break
+                v, address = " ".join(x[2] for x in run), [bool(re.search("@|[A-Za-z]", x[2])) for x in run]
+                if address[0] and m > n or any("@" in x[2] for x in run[1:]):
+                    continue
+                a, b = run[0][0], run[-1][1]
+                if (address[0] or 7 <= len(re.sub("[^0-9]", "", v)) <= 19) and not any(x < b and a < y for _, x, y in taken):
+                    lo, hi = words[n - 1][1] if n else 0, words[m + 1][0] if m + 1 < len(words) else len(t)
+                    left, right = beside(t[lo:hi], a - lo, b - lo)
+                    left = "" if n and t[lo:a] == " " else left
+                    seen.add((None, v.lower(), left, right))
+                    places.append((i, a, b, v.lower()))
+    kind = lambda v: "address" if re.search("@|[a-z]", v) else "dotted" if re.fullmatch(r"[0-9]+(\.[0-9]+){3}", v) else "number"
+    edges = {("form", "", re.sub("[0-9]", "9", re.sub(r"[^\W\d_]+", "a", v)), v) for _, v, _, _ in seen}
+    edges |= {(side, w, kind(v), v) for _, v, *both in seen for side, w in zip(("left", "right"), both) if w}
+    size = {}
+    for *p, _ in edges:
+        size[tuple(p)] = size.get(tuple(p), 0) + 1
+    seeds = {}
+    for k, v, _, _ in seen:
+        if k is not None:
+            seeds[v] = min(k, seeds.get(v, k))
+    belief = {v: (k, 1.0) for v, k in seeds.items()}
+    for _ in range(3):
+        of = {}
+        for *p, v in edges:
+            if v in belief:
+                key = (*p, belief[v][0])
+                of[key] = of.get(key, 0.0) + belief[v][1]
+        conf = {key: b / (size[key[:3]] + 1) for key, b in of.items() if b >= 3 and size[key[:3]] >= 3}
+        miss = {}
+        for *p, v in edges:
+            for k in range(4):
+                if v not in seeds and conf.get((*p, k), 0) >= 0.8:
+                    miss[(v, k)] = miss.get((v, k), 1.0) * (1 - conf[(*p, k)])
+        new = {}
+        for (v, k), x in miss.items():
+            if 1 - x >= 0.8:
+                new[v] = max(new.get(v, (0, 0)), (1 - x, -k))
+        belief = {v: (k, 1.0) for v, k in seeds.items()} | {v: (-k, b) for v, (b, k) in new.items()}
+    out = {}
+    for i, a, b, v in places:
+        if v in belief:
+            out.setdefault(i, set()).add((belief[v][0], a, b))
+    longer = lambda y, x: (y[2] - y[1], -y[1]) > (x[2] - x[1], -x[1])
+    return {i: {x for x in own if not any(y[1] < x[2] and x[1] < y[2] and longer(y, x) for y in own)} for i, own in out.items()}
+
+
+@pytest.mark.parametrize("hot", [pii.HOT, 3])
+def test_op9_finds_what_a_plain_bootstrap_finds(spark, tmp_path, monkeypatch, hot):
+    rnd = random.Random(21)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    word = lambda: rnd.choice(["the", "of", "ring", "over", "ist", "und"])
+    texts = [f"{word()} {word()} tel +1 ({digits(3)}) 555-{digits(4)} {word()} {word()}" for _ in range(90)]
+    texts += [f"{word()} write {word()}.{i}@mail{i % 9}.example.com today" for i in range(40)]
+    texts += [f"{word()} tel 0171-{digits(7)} {word()}" for _ in range(12)]  # a new form in a known place
+    texts += ["unlike 0171-5550001 elsewhere", "please write jo[at]host[dot]org today", "the write Ann@localhost today"]
+    texts += [f"ring +1 (826) 555-4081 190.137.223.{i} of" for i in range(3)]  # swallowed by a longer match that fails
+    texts += ["Version 2.0 of 10 items", "", "1 2 3 4 5 6 7 8 9 " * 700, "word " * 400_000 + "tel 0171-5550002 ring"]
+    os.mkdir(tmp_path / "sf")
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900, None)], "doc_id long, text string").write.parquet(str(tmp_path / "sf/documents.parquet"))
+    monkeypatch.setattr(pii, "HOT", hot)
+    got = {r.doc_id: r for r in pii.op9_pii(spark, str(tmp_path / "sf")).collect()}
+    want = plain_bootstrap(texts)
+    added = {}
+    for i in range(len(texts)):
+        spans = [tuple(x.split(":")) for x in got[i].spans.split(",") if x]
+        base = sum(getattr(got[i], f"n_{k}") for k in pii.KINDS)
+        assert len(spans) == base + len(want.get(i, ()))
+        assert {(pii.KINDS[k], str(a), str(b)) for k, a, b in want.get(i, ())} <= set(spans)
+        added[i] = len(spans) - base
+    assert all(added[i] for i in (*range(130, 143), 145, 146, 147, 151)) and not any(added[i] for i in (*range(130), 148, 149, 150))
+    assert got[900].spans == "" and len(got) == len(texts) + 1
+
+
 # --- 10 mixing ------------------------------------------------------------------------------------------------------
 
 
