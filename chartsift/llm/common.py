@@ -61,6 +61,23 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), SPACE), lambda w: w != "")
 
 
+#: Rows that meet under one key in one task, at least; a 100,000th of all rows if that is more.
+SPREAD = 1000
+
+
+def join_spread(many: DataFrame, few: DataFrame, on: list[str], rows: int) -> DataFrame:
+    """Inner join of ``many`` with ``few``, which is unique in ``on`` and has a column ``n``: how many of the ``rows`` rows of
+    ``many`` a key has. A key of over ``SPREAD`` rows (or a 100,000th of all) is dealt over as many tasks as it takes.
+
+    Which keys these are is broadcast: there are at most 100,000, since their rows add up. ``n`` isn't in the result.
+    """
+    most = max(SPREAD, rows // 100_000)
+    hot = few.where(F.col("n") > most).select(*on, F.ceil(F.col("n") / most).cast("int").alias("spread_parts__"))
+    dealt = many.join(F.broadcast(hot), on, "left").withColumn("spread__", F.coalesce(F.pmod(F.xxhash64(*many.columns), "spread_parts__"), F.lit(0)).cast("int")).drop("spread_parts__")
+    copies = few.withColumn("spread__", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > most, F.ceil(F.col("n") / most).cast("int") - 1).otherwise(0)))).drop("n")
+    return dealt.join(copies, [*on, "spread__"]).drop("spread__")
+
+
 def _with_least(of: DataFrame, edges: DataFrame, hub: int) -> DataFrame:
     """``edges`` with ``m``, the smallest of u and its neighbours in ``of``."""
     least = of.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_ascii, table
+from .common import cut, join_spread, lower_ascii, table
 
 KINDS = ("email", "ip", "card", "phone")
 # The base expressions, written so that a failing start costs no backtracking over a long run.
@@ -32,9 +32,6 @@ CANDIDATE = f"{_ADDRESS}|{_NUMBER}"
 RUN, LEAST_DIGITS, MOST_DIGITS = 4, 7, 19
 #: A pattern needs this many believed instances, and instances and patterns this confidence.
 SUPPORT, CONFIDENCE, ROUNDS = 3, 0.8, 3
-#: Instances of a pattern, or places of a value, from which it is met by broadcast, so that no task gets them all. Of E
-#: edges (places) there are at most 100,000 such patterns (values), as the bound grows to a 100,000th of E.
-HOT = 1000
 #: Matches that are laid out one after the other before blocks of them are.
 BLOCK = 256
 _FOUND = "array<struct<v:string,l:int,glue:boolean,left:string,right:string>>"
@@ -174,13 +171,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return cut(df.select("id", "th", F.transform("own", lambda b: F.struct(b["k"].alias("k"), b["s"].alias("s"), b["e"].alias("e"))).alias("base"), F.concat("own", free).alias("seen")))
 
 
-def _meet(many: DataFrame, few: DataFrame, on: list[str], hot: int) -> DataFrame:
-    """Inner join of ``many`` with ``few`` (unique in ``on``, with ``n``, the rows of ``many`` it has): what has over ``hot``
-    comes by broadcast, the rest by a shuffle."""
-    cold = many.join(F.broadcast(few.where(F.col("n") > hot).select(*on)), on, "left_anti")
-    return cold.join(few.where(F.col("n") <= hot), on).unionByName(many.join(F.broadcast(few.where(F.col("n") > hot)), on))
-
-
 def bootstrap(scanned: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Believed instances ``(v, k, belief, n)`` that have n places outside of base spans (seeds among them), and confident patterns ``(side, word, shape, k, conf, n)``.
 
@@ -194,14 +184,14 @@ def bootstrap(scanned: DataFrame, support: int = SUPPORT, confidence: float = CO
     for side in ("left", "right"):
         edges = edges.unionByName(seen.where(F.col(side) != "").select(F.lit(side).alias("side"), F.col(side).alias("word"), _class(F.col("v")).alias("shape"), "v"))
     edges = cut(edges.distinct())
-    hot = max(HOT, edges.count() // 100_000)
+    number = edges.count()
     seeds = cut(seen.where("k IS NOT NULL").groupBy("v").agg(F.min("k").alias("k")).withColumn("belief", F.lit(1.0)))
     belief, patterns, on = seeds, None, ["side", "word", "shape"]
     size = cut(edges.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") >= support))
     for _ in range(rounds):
         good = edges.join(belief, "v").groupBy(*on, "k").agg(F.sum("belief").alias("b")).where(F.col("b") >= support)
         patterns = cut(good.join(size, on).select(*on, "k", (F.col("b") / (F.col("n") + 1)).alias("conf"), "n").where(F.col("conf") >= confidence))
-        scored = _meet(edges, patterns, on, hot).join(seeds.select("v"), "v", "left_anti").groupBy("v", "k").agg((1 - F.exp(F.sum(F.log(1 - F.col("conf"))))).alias("belief"))
+        scored = join_spread(edges, patterns, on, number).join(seeds.select("v"), "v", "left_anti").groupBy("v", "k").agg((1 - F.exp(F.sum(F.log(1 - F.col("conf"))))).alias("belief"))
         new = scored.where(F.col("belief") >= confidence).groupBy("v").agg(F.max(F.struct("belief", (-F.col("k")).alias("k"))).alias("x")).select("v", (-F.col("x.k")).alias("k"), "x.belief")
         new = cut(new)
         belief = seeds.unionByName(new)
@@ -220,8 +210,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     scanned = scan(docs, id_col, text_col)
     new = cut(bootstrap(scanned)[0])
     places = scanned.select("id", "th", F.explode(F.filter("seen", lambda x: x["k"].isNull())).alias("x")).select("id", "th", "x.v", "x.s", "x.e")
-    hot = max(HOT, (new.agg(F.sum("n")).first()[0] or 0) // 100_000)
-    at = _meet(places, new, ["v"], hot)
+    at = join_spread(places, new, ["v"], new.agg(F.sum("n")).first()[0] or 0)
     more = at.groupBy("id", "th").agg(F.collect_set(F.struct("k", "s", "e")).alias("more")).select(F.col("id").alias("more_id"), F.col("th").alias("more_th"), "more")
 
     def best(x: Column) -> Column:

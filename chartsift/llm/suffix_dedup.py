@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, join_spread, table
 
 LENGTH, KMER = 400, 256
 #: Depth in bytes to which the multikey quicksort goes before blind tries take over.
@@ -231,10 +231,16 @@ def _sorted_groups(rows: DataFrame, length: int, kmer: int) -> DataFrame:
     return rows.select("g", "h", "ctx", "off", "body").repartition("g").sortWithinPartitions("g").mapInPandas(work, "h long, ctx long, lo int, hi int")
 
 
+def row_key(id_col: str, text_col: str):
+    """One number for a row, whether its id is null or repeats."""
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, kmer: int = KMER, group: int = GROUP) -> DataFrame:
     """``(id, spans)`` for the rows that hold a repeat; spans: sorted byte ranges (start, end), which may overlap.
 
-    Ids must be distinct. A group of over ``group`` different blocks is divided by what a shared string must extend
+    ``id`` is ``row_key`` of the row: rows that repeat are places of their own, and so are rows with one id (or none) and
+    different texts. An anchor or block with very many places is dealt over several tasks. A group of over ``group`` different blocks is divided by what a shared string must extend
     the anchor by: half of the rest to the right or half to the left, again and again; at the last level a group's
     members share a whole string, and counting them is enough. So no task gets an unbounded group, and nothing is lost.
     """
@@ -251,13 +257,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if parts:
                 yield pd.DataFrame(dict(zip(("id", "h", "ctx", "first", "off", "more"), (np.concatenate(x) for x in zip(*parts)))))
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    source = docs.select(row_key(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
     blocks = source.mapInPandas(scan, schema)
-    often = blocks.groupBy("h").agg(F.count("*").alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b")).where("n > 1")
-    near = cut(blocks.join(often.select("h", (F.col("a") == F.col("b")).alias("same")), "h"))
-    by_ctx = near.where("not same").groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "first", "off", "more")).alias("one"))
-    whole_ctx = by_ctx.where("n > 1").select("h", "ctx")
-    whole = near.where("same").select("id", "first", "more").unionByName(near.where("not same").join(whole_ctx, ["h", "ctx"], "left_semi").select("id", "first", "more"))
+    often = cut(blocks.groupBy("h").agg(F.count("*").alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b")).where("n > 1").select("h", "n", (F.col("a") == F.col("b")).alias("same")))
+    number = often.agg(F.sum("n")).first()[0] or 0
+    near = cut(join_spread(blocks, often, ["h"], number))
+    by_ctx = cut(near.where("not same").groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "first", "off", "more")).alias("one")))
+    whole_ctx = by_ctx.where("n > 1").select("h", "ctx", "n")
+    whole = near.where("same").select("id", "first", "more").unionByName(join_spread(near.where("not same"), whole_ctx, ["h", "ctx"], number).select("id", "first", "more"))
     spans = whole.select("id", F.col("first").alias("lo"), (F.col("first") + F.col("more") + length).alias("hi"))
 
     wanted = by_ctx.select("h", "ctx", "one.*").groupBy("id").agg(F.collect_list(F.struct("h", "ctx", "first", "off", "more")).alias("blocks"))
@@ -314,11 +321,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: ``(id, kept, n_bytes, spans)``, kept being the UTF-8 bytes that stay.
 
     Null and empty texts give no bytes and no spans; texts shorter than ``length`` stay whole; extra columns play no
-    part; a null id keeps its text whole; an empty table gives an empty one. Removal may cut inside a character, hence
+    part; a null id is as good as any; an empty table gives an empty one. Removal may cut inside a character, hence
     binary.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    joined = source.join(repeated_spans(docs, id_col, text_col, length, kmer, group), "id", "left")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
+    joined = source.join(repeated_spans(docs, id_col, text_col, length, kmer, group).withColumnRenamed("id", "row"), "row", "left")
 
     def apply(batches):
         for df in batches:

@@ -3,7 +3,8 @@
 A vector is cut into segments; with each segment's mean and deviation, (a - b)^2 summed over a segment of n components
 is at least n ((mean_a - mean_b)^2 + (dev_a - dev_b)^2), so squared distances have a lower bound from a few numbers. As
 |a|^2 and |b|^2 are known, a lower bound of the distance is an upper bound of the inner product. Coarse segments are
-tried first, finer ones on what survives, and whole vectors on the rest.
+tried first, finer ones on what survives, and whole vectors on the rest. What a query must reach is known from the
+start: its k-th best product in a sample of the rows.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from .common import table
 
 #: Segments at each resolution.
 LEVELS = (4, 16)
-#: Queries that are broadcast at once; more are done in further blocks over the same rows.
-QUERY_BLOCK = 2048
+#: Bytes of queries that are broadcast at once; more are done in further blocks over the same rows.
+QUERY_BYTES = 16 << 20
+#: Rows whose products with a query say what its best must reach at least; exact for any number.
+SAMPLE = 4096
 #: Rows that are compared at once.
 ROWS = 4096
 
@@ -46,15 +49,32 @@ def survivors(qs: np.ndarray, xs: np.ndarray, q2: np.ndarray, x2: np.ndarray, fl
     return rows[keep], cols[keep]
 
 
+def products(qs: np.ndarray, xs: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Inner products of the (query, row) pairs; in whole numbers of any size where doubles might not hold them."""
+    if len(rows) and np.sqrt((qs**2).sum(axis=1).max() * (xs**2).sum(axis=1).max()) >= 2.0**52:
+        return np.array([sum(int(a) * int(b) for a, b in zip(qs[r], xs[c])) for r, c in zip(rows, cols)], object)
+    return np.concatenate([np.einsum("ij,ij->i", qs[rows[a : a + (1 << 18)]], xs[cols[a : a + (1 << 18)]]) for a in range(0, len(rows), 1 << 18)] or [np.empty(0)])
+
+
+def matrices(batch: pa.RecordBatch):
+    """The vectors of a batch by length: (ids, matrix) for each."""
+    ids, lists = batch.column("id").to_numpy(zero_copy_only=False), batch.column("v")
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+    for n in np.unique(lengths):
+        own = np.nonzero(lengths == n)[0]
+        yield int(n), own, ids[own], flat[(ends[own] - n)[:, None] + np.arange(n)[None, :]].astype(np.float64)
+
+
 class Block:
     """A block of queries of one length with the ten best candidates so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.x, self.k = ids, vectors, k
         self.x2 = (vectors**2).sum(axis=1)
         self.stats = [segment_stats(vectors, n) for n in LEVELS]
         self.best = [[] for _ in ids]  # (score, -id), k at most
-        self.floor = np.full(len(ids), -np.inf)
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor.copy()
 
     def offer(self, ids: np.ndarray, x: np.ndarray) -> None:
         x2 = (x**2).sum(axis=1)
@@ -68,7 +88,7 @@ class Block:
             rows, cols = survivors(self.stats[level], stats[level], self.x2, x2, self.floor, rows, cols)
         own = self.ids[rows] == ids[cols]
         rows, cols = rows[~own], cols[~own]
-        score = np.concatenate([np.einsum("ij,ij->i", self.x[rows[a : a + (1 << 18)]], x[cols[a : a + (1 << 18)]]) for a in range(0, len(rows), 1 << 18)] or [np.empty(0)])
+        score = products(self.x, x, rows, cols)
         order = np.lexsort((ids[cols], -score, rows))
         rows, cols, score = rows[order], cols[order], score[order]
         first = np.searchsorted(rows, np.arange(len(self.ids)))
@@ -92,47 +112,63 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
     """``(query_id, rank, vec_id, score)``: for each query its ``k`` highest integer inner products, ties to smaller ids.
 
     Candidates are all rows but those with the query's own id; vectors that are null or hold a null or non-finite
-    component take no part; a query meets candidates of its own length only; ids are distinct. Queries are broadcast in
-    blocks of ``QUERY_BLOCK``; every partition keeps ``k`` candidates a query, and these meet by query. Products stay
-    exact below 2^53. Fewer than ``k`` candidates give as many rows; an empty table none.
+    component take no part; a query meets candidates of its own length only. Rows that repeat an id are candidates of their
+    own (those of one score count once), and queries that repeat one with the same vector are one query. Queries are broadcast in
+    blocks of ``QUERY_BYTES``, each with the floor that a sample of the rows (the smallest hashed ids) sets it; every
+    partition keeps ``k`` candidates a query, and these meet by query. Fewer than ``k`` candidates give as many rows; an
+    empty table none; extra columns play no part.
     """
     spark = vectors.sparkSession
-    rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col)
-    found, block = None, []
+    rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col).distinct()
+    sample: dict[int, tuple[list, list]] = {}
+    for r in {r.id: r for r in rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()}.values():
+        sample.setdefault(len(r.v), ([], []))[0].append(r.id)
+        sample[len(r.v)][1].append(r.v)
+    known = spark.sparkContext.broadcast({n: (np.array(i, np.int64), np.array(v, np.float64).reshape(len(i), n)) for n, (i, v) in sample.items()})
+
+    def floors(batches):
+        for batch in batches:
+            out = np.full(batch.num_rows, -np.inf)
+            for n, own, ids, q in matrices(batch):
+                if n in known.value:
+                    of, x = known.value[n]
+                    score = np.where(of[None, :] == ids[:, None], -np.inf, q @ x.T)
+                    if score.shape[1] >= k:
+                        out[own] = np.partition(score, -k, axis=1)[:, -k]
+            # a product that doubles don't hold exactly may be off by its last places
+            out = out - np.abs(np.where(np.isfinite(out), out, 0)) * 1e-9
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(out)], ["id", "v", "floor"])
 
     def search(block: list) -> DataFrame:
         sent = spark.sparkContext.broadcast(block)
 
         def work(batches):
-            by_length: dict[int, tuple[list, list]] = {}
-            for i, v in sent.value:
-                by_length.setdefault(len(v), ([], []))[0].append(i)
-                by_length[len(v)][1].append(v)
-            blocks = {n: Block(np.array(i, np.int64), np.array(v, np.float64).reshape(len(i), n), k) for n, (i, v) in by_length.items()}
+            by_length: dict[int, list] = {}
+            for q in sent.value:
+                by_length.setdefault(len(q[1]), []).append(q)
+            blocks = {n: Block(np.array([q[0] for q in own], np.int64), np.array([q[1] for q in own], np.float64).reshape(len(own), n), k, np.array([q[2] for q in own])) for n, own in by_length.items()}
             for batch in batches:
-                ids, lists = batch.column("id").to_numpy(zero_copy_only=False), batch.column("v")
-                lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-                flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
-                for n, b in blocks.items():
-                    own = np.nonzero(lengths == n)[0]
-                    for at in range(0, len(own), ROWS):
-                        part = own[at : at + ROWS]
-                        b.offer(ids[part], flat[(ends[part] - n)[:, None] + np.arange(n)[None, :]])
+                for n, _, ids, x in matrices(batch):
+                    if n in blocks:
+                        for at in range(0, len(ids), ROWS):
+                            blocks[n].offer(ids[at : at + ROWS], x[at : at + ROWS])
             out = [(q, -c, int(s)) for b in blocks.values() for q, best in zip(b.ids.tolist(), b.best) for s, c in best]
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64"), preserve_index=False)
 
         return rows.mapInArrow(work, "query_id long, vec_id long, score long")
 
-    for row in asked.toLocalIterator():
-        block.append((row.id, row.v))
-        if len(block) == QUERY_BLOCK:
-            part, block = search(block), []
+    found, block, held = None, [], 0
+    for row in asked.mapInArrow(floors, "id long, v array<double>, floor double").toLocalIterator():
+        block.append((row.id, row.v, row.floor))
+        held += 8 * len(row.v) + 64
+        if held >= QUERY_BYTES:
+            part, block, held = search(block), [], 0
             found = part if found is None else found.unionByName(part)
     if block or found is None:
         part = search(block)
         found = part if found is None else found.unionByName(part)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    return found.distinct().select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
 def op8_exact_topk(spark, sf_dir: str) -> DataFrame:

@@ -159,8 +159,8 @@ def test_suffix_dedup_matches_brute_force(spark, group):
 
 def test_suffix_dedup_on_no_rows_and_null_ids(spark):
     assert suffix_dedup.remove_repeats(docs_of(spark, [(1, "a")]).limit(0)).count() == 0
-    out = suffix_dedup.remove_repeats(docs_of(spark, [(None, "b" * 900), (1, "c")])).collect()
-    assert sorted(len(r.kept) for r in out) == [1, 900]
+    out = suffix_dedup.remove_repeats(docs_of(spark, [(None, "b" * 900), (1, "c"), (None, None), (1, "")])).collect()
+    assert sorted(len(r.kept) for r in out) == [0, 0, 0, 1]
 
 
 # --- 4 language model -----------------------------------------------------------------------------------------------
@@ -425,7 +425,7 @@ def test_near_dedup_finds_pairs_at_its_threshold_and_keeps_pairs_below(spark, mo
 # --- 8 exact top-k --------------------------------------------------------------------------------------------------
 
 
-def test_topk_matches_brute_force(spark):
+def test_topk_matches_brute_force(spark, monkeypatch):
     rnd = np.random.default_rng(3)
     v = rnd.normal(0, 0.2, (300, 24)).astype(np.float32)
     v[10] = v[11] = v[12]
@@ -441,6 +441,15 @@ def test_topk_matches_brute_force(spark):
         assert [got[q][k] for k in range(1, 11)] == [(i, -n) for n, i in best]
     assert got[600] == {1: (601, 3 * 102 * 204)} and set(got) == {0, 100, 200, 600}
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    monkeypatch.setattr(topk, "QUERY_BYTES", 300)
+    monkeypatch.setattr(topk, "SAMPLE", 20)
+    again = {}
+    for r in topk.top_k(df.unionByName(df.where("vec_id < 50")), df.where("vec_id % 100 = 0")).collect():
+        again.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert again == got
+    large = spark.createDataFrame([(0, [2.0e6, 1.0]), (1, [1.9999999e6, 2.0]), (2, [1.9999999e6, 3.0])], "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in ((0, (2.0e6, 1.0)), (1, (1.9999999e6, 2.0)), (2, (1.9999999e6, 3.0)))}
+    assert [(r.vec_id, r.score) for r in topk.top_k(large, large.where("vec_id = 0")).orderBy("rank").collect()] == [(i, sum(a * b for a, b in zip(whole[0], whole[i]))) for i in (2, 1)]
 
 
 # --- 9 personal data ------------------------------------------------------------------------------------------------
@@ -565,7 +574,7 @@ def plain_bootstrap(texts):
     return {i: {x for x in own if not any(y[1] < x[2] and x[1] < y[2] and longer(y, x) for y in own)} for i, own in out.items()}
 
 
-@pytest.mark.parametrize("hot", [pii.HOT, 3])
+@pytest.mark.parametrize("hot", [common.SPREAD, 3])
 def test_op9_finds_what_a_plain_bootstrap_finds(spark, tmp_path, monkeypatch, hot):
     rnd = random.Random(21)
     digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
@@ -578,7 +587,7 @@ def test_op9_finds_what_a_plain_bootstrap_finds(spark, tmp_path, monkeypatch, ho
     texts += ["Version 2.0 of 10 items", "", "1 2 3 4 5 6 7 8 9 " * 700, "word " * 400_000 + "tel 0171-5550002 ring"]
     os.mkdir(tmp_path / "sf")
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900, None)], "doc_id long, text string").write.parquet(str(tmp_path / "sf/documents.parquet"))
-    monkeypatch.setattr(pii, "HOT", hot)
+    monkeypatch.setattr(common, "SPREAD", hot)
     got = {r.doc_id: r for r in pii.op9_pii(spark, str(tmp_path / "sf")).collect()}
     want = plain_bootstrap(texts)
     added = {}
