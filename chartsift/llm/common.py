@@ -22,13 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests on one machine) is a temporary folder of our own used. Also makes sure that
-    ``DataFrame.checkpoint`` has a directory.
+    Where it is unset, a session on one machine (``local`` master) gets a temporary folder of its own; on a cluster that is
+    an error, since executors would not see it. Also makes sure that ``DataFrame.checkpoint`` has a directory.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     jsc = spark.sparkContext._jsc.sc()
+    if not base and jsc.getCheckpointDir().isDefined():
+        base = jsc.getCheckpointDir().get()
     if not base:
-        base = jsc.getCheckpointDir().get() if jsc.getCheckpointDir().isDefined() else "file://" + tempfile.mkdtemp(prefix="chartsift-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="chartsift-")
     if not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(base)
     return base

@@ -73,8 +73,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         seeds = own if seeds is None else seeds.unionByName(own)
     seeds = cut(seeds.groupBy("key").agg(F.collect_set(F.struct("item_id", "q")).alias("found")))
     n = seeds.select(F.sum(F.size("found"))).first()[0] or 0
-    source = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words")).where(F.col("doc_id").isNotNull())
-    places = source.select("doc_id", "words", F.explode(_places(F.col("words"))).alias("p"))
+    source = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"), F.xxhash64(text_col).alias("th")).where(F.col("doc_id").isNotNull())
+    places = source.select("doc_id", "th", "words", F.explode(_places(F.col("words"))).alias("p"))
     keyed = places.select("*", *[_key(F.col("words"), F.col("p"), mask, k).alias(f"key{k}") for k, mask in enumerate(MASKS)])
     if n <= broadcast_seeds:
         hits = keyed
@@ -87,10 +87,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     else:
         pairs = None
         for k in range(len(MASKS)):
-            own = keyed.select("doc_id", "p", F.col(f"key{k}").alias("key"))
+            own = keyed.select("doc_id", "th", "p", F.col(f"key{k}").alias("key"))
             pairs = own if pairs is None else pairs.unionByName(own)
-        pairs = pairs.join(seeds, "key").select("doc_id", "p", F.explode("found").alias("s")).select("doc_id", F.col("s.item_id").alias("item_id"), (F.col("p") - F.col("s.q")).alias("shift")).distinct()
-        hits = pairs.join(items, "item_id").join(source, "doc_id")
+        pairs = pairs.join(seeds, "key").select("doc_id", "th", "p", F.explode("found").alias("s")).select("doc_id", "th", F.col("s.item_id").alias("item_id"), (F.col("p") - F.col("s.q")).alias("shift")).distinct()
+        hits = pairs.join(items, "item_id").join(source, ["doc_id", "th"])
     checked = hits.select("doc_id", "item_id", F.size("item").alias("size"), _stretch(F.col("words"), F.col("item"), F.col("shift")).alias("best"))
     good = checked.where(F.col("best.matches") >= F.least(F.lit(least), F.col("size")))
     order = F.struct(F.col("best.matches").alias("m"), (-(F.col("best.last") - F.col("best.first"))).alias("w"), (-F.col("best.first")).alias("f"))

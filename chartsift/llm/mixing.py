@@ -74,9 +74,14 @@ def mixed(docs: DataFrame, seed: int = 11, weights: tuple[float, ...] = (1.0, 2.
 
 
 def emit(docs: DataFrame, **options) -> DataFrame:
-    """Each document as often as the mix takes it; columns of ``docs`` and ``copy`` (from 1)."""
-    out = mixed(docs, **options).where("mix_copies > 0")
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies")).alias("copy"))
+    """Each document as often as the mix takes it; columns of ``docs`` and ``copy`` (from 1), which replaces one of that name.
+
+    Columns called ``mix_...`` must not be there, or other ``names`` be given. Null and empty texts have no words: they come
+    as often as their source's rate says. An empty table stays empty.
+    """
+    out = mixed(docs, **options)
+    copies = options.get("names", ("", "", "", "mix_copies"))[3]
+    return out.where(F.col(copies) > 0).select(*[c for c in docs.columns if c != "copy"], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"))
 
 
 def op10_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import bloom_lm, decontaminate, mixing, pii, simhash, suffix_dedup, token_rollup, topk, toxicity, url_filter
+from . import bloom_lm, decontaminate, mixing, pii, simhash, stages, suffix_dedup, token_rollup, topk, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -19,7 +17,7 @@ def queries() -> dict:
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_pii": pii.op9_pii,
         "op10_source_mixing": mixing.op10_source_mixing,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": stages.run,
     }
 
 

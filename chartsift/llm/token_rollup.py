@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +91,8 @@ def deltas(changes: DataFrame, tokenizers: dict[str, Callable[[Column], Column]]
 
 
 class Rollup:
-    """A rollup in a folder that driver and executors share: one small Parquet folder for each committed batch."""
+    """A rollup in a folder that driver and executors share: a Parquet folder of rows for each attempt at a batch, and a
+    marker file ``commit-<batch>`` that names the one that counts."""
 
     SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
@@ -101,35 +103,49 @@ class Rollup:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _at(self, batch: str) -> str:
+    def _marker(self, batch: str) -> str:
         if not batch or set(batch) & set("/=\\") or batch.startswith((".", "_")):
             raise ValueError(f"not a batch id: {batch!r}")
-        return f"{self.path}/batch-{batch}"
+        return f"{self.path}/commit-{batch}"
 
     def committed(self, batch: str) -> bool:
-        fs, p = self._fs(self._at(batch))
-        return fs.exists(p)
+        fs, p = self._fs(self._marker(batch))
+        return fs.exists(p) and fs.getFileStatus(p).getLen() > 0
 
     def commit(self, batch: str, delta: DataFrame) -> bool:
         """Adds a batch once; False (and nothing is computed) if the id is there already.
 
-        The rows are written aside and the folder renamed in one step, so a batch is there whole or not at all.
+        The rows are written aside; then the marker is created, which the file system grants to one writer alone, so of two
+        attempts at a time one counts. An attempt that is lost before its marker is written leaves rows that no total reads;
+        one lost while it writes the marker leaves an empty one, which is taken away by the next.
         """
         if self.committed(batch):
             return False
-        aside = f"{self.path}/_{uuid.uuid4().hex}"
-        delta.select("source", "lang", "tokenizer", "n_docs", "n_tokens").coalesce(1).write.parquet(aside)
-        fs, p = self._fs(aside)
-        to = self.spark._jvm.org.apache.hadoop.fs.Path(self._at(batch))
-        if fs.exists(to) or not fs.rename(p, to):
-            fs.delete(p, True)
+        name = f"rows-{uuid.uuid4().hex}"
+        delta.select("source", "lang", "tokenizer", "n_docs", "n_tokens").write.parquet(f"{self.path}/{name}")
+        fs, p = self._fs(self._marker(batch))
+        if fs.exists(p) and fs.getFileStatus(p).getLen() == 0:
+            fs.delete(p, False)
+        try:
+            out = fs.create(p, False)
+        except Py4JJavaError:
+            if not fs.exists(p):
+                raise
+            fs.delete(self._fs(f"{self.path}/{name}")[1], True)
             return False
+        out.write(bytearray(name.encode()))
+        out.close()
         return True
 
     def totals(self) -> DataFrame:
         """Sums over all committed batches; groups without documents and tokens are left out."""
         fs, p = self._fs(self.path)
-        names = [s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("batch-")] if fs.exists(p) else []
+        names = []
+        for s in fs.listStatus(p) if fs.exists(p) else []:
+            if s.getPath().getName().startswith("commit-") and s.getLen():
+                stream = fs.open(s.getPath())
+                names.append(f"{self.path}/{bytes(stream.readAllBytes()).decode()}")
+                stream.close()
         rows = self.spark.read.schema(self.SCHEMA).parquet(*names) if names else self.spark.createDataFrame([], self.SCHEMA)
         return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 OR n_tokens <> 0")
 

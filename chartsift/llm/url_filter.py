@@ -30,7 +30,7 @@ def node(url: Column) -> Column:
     """A url's node in the link graph: host, path without a closing slash, and query; scheme and fragment don't count.
     Null where there is no host."""
     own = F.concat(host(url), F.regexp_replace(path(url), "/+$", ""), F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 4))
-    return F.when(host(url) != "", F.xxhash64(own))
+    return F.when(host(url) != "", F.md5(own.cast("binary")))
 
 
 def rule_of(h: Column, p: Column, rules=RULES) -> Column:
@@ -44,23 +44,38 @@ def rule_of(h: Column, p: Column, rules=RULES) -> Column:
     return F.coalesce(*out) if out else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def _without_dots(p: Column) -> Column:
+    """A path with its ``.`` and ``..`` parts taken away."""
+    parts = F.split(p, "/", -1)
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc).when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(x))),
+    )
+    closed = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(F.contains(p, F.lit("/.")), F.array_join(closed, "/")).otherwise(p)
+
+
 def absolute(target: Column, url: Column) -> Column:
-    """A link's target as a url of its own: as it is, on the page's host, or beside the page."""
+    """A link's target as a url of its own: as it is, on the page's host, beside the page, or the page with another query.
+    Null where it only names a place in the page."""
     site = F.concat(F.regexp_extract(url, _PARTS, 1), F.lit("://"), F.regexp_extract(url, _PARTS, 2))
+    own, rest = F.regexp_extract(target, "^[^?#]*", 0), F.regexp_extract(target, "[?#].*$", 0)
     return (
-        F.when(target == "", F.lit(None))
-        .when(F.contains(target, F.lit("://")), target)
+        F.when((target == "") | F.startswith(target, F.lit("#")), F.lit(None))
+        .when(F.contains(own, F.lit("://")), target)
         .when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract(url, _PARTS, 1), F.lit(":"), target))
-        .when(F.startswith(target, F.lit("/")), F.concat(site, target))
-        .otherwise(F.concat(site, F.regexp_replace(path(url), "[^/]*$", ""), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(site, _without_dots(own), rest))
+        .when(F.startswith(target, F.lit("?")), F.concat(site, path(url), target))
+        .otherwise(F.concat(site, _without_dots(F.concat(F.regexp_replace(F.concat(F.lit("/"), F.ltrim(path(url), F.lit("/"))), "[^/]*$", ""), own)), rest))
     )
 
 
 def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst, target)``: redirects and canonical links between nodes; pages without either cost one search."""
+    """``(src, dst, target)``: all redirects and canonical links between nodes; pages without either cost one search."""
     html, url = F.coalesce(F.col(html_col), F.lit("")), F.col(url_col)
-    both = F.array(F.when(F.lower(html).contains("canonical"), F.regexp_extract(html, CANONICAL, 1)), F.when(F.lower(html).contains("refresh"), F.regexp_extract(html, REFRESH, 1)))
-    found = pages.select(url.alias("url"), F.explode(F.filter(both, lambda x: x.isNotNull() & (x != ""))).alias("t")).select("url", F.replace(absolute(F.col("t"), F.col("url")), F.lit("&amp;"), F.lit("&")).alias("target"))
+    none = F.array().cast("array<string>")
+    every = [F.when(F.lower(html).contains(word), F.regexp_extract_all(html, F.lit(pattern), F.lit(1))).otherwise(none) for word, pattern in (("canonical", CANONICAL), ("refresh", REFRESH))]
+    found = pages.select(url.alias("url"), F.explode(F.filter(F.concat(*every), lambda x: x != "")).alias("t")).select("url", absolute(F.replace(F.col("t"), F.lit("&amp;"), F.lit("&")), F.col("url")).alias("target"))
     return found.select(node(F.col("url")).alias("src"), node(F.col("target")).alias("dst"), "target", "url").where("src IS NOT NULL AND dst IS NOT NULL")
 
 
