@@ -5,56 +5,6 @@ is written as Parquet to the folder that driver and executors share and read aga
 executor costs one stage's tasks at most.
 """
 
-from __future__ import annotations
+from chartsift.llm.stages import ORACLE_SQL, STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-
-from chartsift.llm import decontaminate, mixing, pii, simhash, toxicity
-from chartsift.llm.common import shared_path, table
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that compression distance, learned from all labels, calls toxic go."""
-    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the smallest doc_id stays."""
-    return simhash.drop_near_duplicates(docs)
-
-
-def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, or a long stretch of one, go."""
-    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
-
-
-def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by its kind; all documents stay."""
-    return pii.redact(docs)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target weight asks; ``copy`` numbers a document's copies."""
-    return mixing.emit(docs)
-
-
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_duplicates),
-    ("decontamination", drop_leaks),
-    ("pii", redact_pii),
-    ("mixing", mix_sources),
-]
-
-#: Trained compression models and fingerprints can't be said in SQL; each stage is tested against a plain version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = shared_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
