@@ -21,7 +21,7 @@ BUCKET = 16384
 #: The same for fingerprints of more than a word, whose oversized buckets are compared by pairs of parts.
 PART = 4096
 #: Bytes of shingle sets that are compared in one place; a group with more is compared by pairs of parts.
-SETS = 8 << 20
+SETS = 2 << 20
 #: Members of groups up to which their ids are broadcast to fetch the texts (16 bytes each), more are joined.
 BROADCAST_MEMBERS = 500_000
 #: Up to this many oversized buckets are known to each task by broadcast, more are joined.
@@ -316,7 +316,7 @@ def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int,
 
     Sets are compared with leaders: the first that is like no leader before is the next one. Two sets that are like
     different leaders can only be alike if the leaders are within three times the distance (the Jaccard distance is a
-    metric); of such clusters, unless connected already, each member of the smaller one is compared with all.
+    metric); of such clusters, unless connected already, each member of the smaller one is compared with all, once at most.
     """
     n = len(sets)
     size = np.array([len(x) for x in sets], np.int64)
@@ -336,19 +336,21 @@ def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int,
                 out.append((i, j))
                 label[label == label[j]] = label[i]
 
-    leaders, owner, close = [], np.full(n, -1), []
+    leaders, owner, close, compared = [], np.full(n, -1), [], np.zeros(n, bool)
     for i in range(n):
         if owner[i] < 0:
             likeness = like(i)
             near = np.nonzero(likeness >= similarity)[0]
             owner[near[owner[near] < 0]] = owner[i] = i
+            compared[i] = True
             tie(i, near)
             close += [(i, j) for j in leaders if likeness[j] >= 1 - 3 * (1 - similarity)]
             leaders.append(i)
     for a, b in close:
         if label[a] != label[b]:
-            members = min((np.nonzero(owner == x)[0] for x in (a, b)), key=len)
+            members = min((np.nonzero((owner == x) & ~compared)[0] for x in (a, b)), key=len)
             for i in members.tolist():
+                compared[i] = True  # with all others, so never again
                 tie(i, np.nonzero(like(i) >= similarity)[0])
     return out
 

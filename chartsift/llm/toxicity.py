@@ -21,7 +21,7 @@ SAMPLE = 3000
 #: ... and most bytes of text of each class; a text that would pass the bound is left out as a whole.
 SAMPLE_BYTES = 48 << 20
 #: Widths of the windows, and lengths of the byte strings that tell the classes apart.
-WINDOWS, GRAMS = (32, 48, 64), (5, 8)
+WINDOWS, GRAMS = (40, 64), (5, 8)
 #: Byte strings of each length typical of a class that its dictionary is trained on, and how much more frequent they are.
 TYPICAL, TYPICAL_RATE = 400, 6
 #: Pieces of ordinary text, evenly spaced over the whole sample, that the shared base is trained on.
