@@ -49,3 +49,10 @@ def average_precision(found: DataFrame, truths: int, score: str = "score", hit:
     points = found.sparkSession.range(101).select((F.col("id") / 100.0).alias("at"))
     best = points.join(r, F.col("recall") >= F.col("at") - 1e-12, "left").groupBy("at").agg(F.coalesce(F.max("precision"), F.lit(0.0)).alias("p"))
     return best.agg(F.avg("p").alias("ap"))
+
+
+def detections(boxes: DataFrame, by: list[str], least: float = 0.3) -> DataFrame:
+    """``by + (class, place, score)`` of the detections in ``boxes array<array<array<double>>>`` (for each class its boxes
+    x1, y1, x2, y2, score) that score ``least`` or more; ``place`` counts all boxes, classes one after the other, from 0."""
+    flat = F.flatten(F.transform("boxes", lambda own, c: F.transform(own, lambda b: F.struct(c.alias("class"), b[4].alias("score")))))
+    return boxes.select(*by, F.posexplode(flat).alias("place", "d")).select(*by, "d.class", "place", "d.score").where(F.col("score") >= least)

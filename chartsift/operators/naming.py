@@ -25,7 +25,9 @@ def temperature(c: Column) -> Column:
 
 def _plain(v: Column) -> Column:
     """A number as a name writes it: without a point if it is whole, else six significant digits."""
-    return F.when(v == F.floor(v), F.floor(v).cast("string")).otherwise(F.regexp_replace(F.round(v, 6).cast("string"), r"\.?0+$", ""))
+    places = (5 - F.floor(F.log10(F.abs(v)))).cast("int")
+    six = F.round(v * F.pow(F.lit(10.0), places), 0) / F.pow(F.lit(10.0), places)
+    return F.when(v == F.floor(v), F.floor(v).cast("string")).otherwise(F.regexp_replace(six.cast("string"), r"\.?0+$", ""))
 
 
 def _keyed(labels: DataFrame, kind: str) -> DataFrame:

@@ -23,6 +23,16 @@ def figure_lines(figures: DataFrame, keys: list[str]) -> DataFrame:
     return caption.unionByName(line).unionByName(whole)
 
 
+def complete_axes(figures: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys + (complete)``: whether a figure has lines in both axes' zones, whatever they say; a figure that lacks one is
+    probably cut from a larger one. Figures as in ``figure_lines``; without lines: false."""
+    from ..functions.geometry import zone
+
+    zones = F.transform("lines", lambda x: zone(x["x1"], x["y1"], x["x2"], x["y2"], F.col("width"), F.col("height")))
+    has = lambda axis: F.coalesce(F.array_contains(F.filter(zones, lambda z: z.isNotNull()), axis), F.lit(False))
+    return figures.select(*keys, (has("x") & has("y")).alias("complete"))
+
+
 def score(lines: DataFrame, rules: DataFrame, keys: list[str], always: DataFrame | None = None) -> DataFrame:
     """``keys + (curve_type, score)``: each rule counts once for each figure, at the highest weight it reached.
 

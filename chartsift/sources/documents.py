@@ -90,10 +90,17 @@ def resolve(wanted: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def write_results(results: DataFrame, path: str) -> None:
-    """Results by device and curve type; refuses rows that violate the schema before anything is written."""
+    """Results by device and curve type; refuses rows that violate the schema before anything is written.
+
+    Only the partitions of the devices and curve types in ``results`` are replaced, others stay as they are. Two results of
+    one device and curve type are a conflict and refused too.
+    """
     from ..operators.validate import result_violation
 
     bad = results.withColumn("violation", result_violation()).where("violation IS NOT NULL").select("device", "curve_type", "violation").take(5)
     if bad:
         raise ValueError(f"invalid results: {bad}")
-    results.write.mode("overwrite").partitionBy("device", "curve_type").json(path)
+    twice = results.groupBy("device", "curve_type").count().where("count > 1").take(5)
+    if twice:
+        raise ValueError(f"more than one result for {[(r.device, r.curve_type) for r in twice]}")
+    results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("device", "curve_type").json(path)
