@@ -25,7 +25,7 @@ WINDOWS, GRAMS = (40, 64), (5, 8)
 #: Byte strings of each length typical of a class that its dictionary is trained on, and how much more frequent they are.
 TYPICAL, TYPICAL_RATE = 400, 6
 #: Pieces of ordinary text, evenly spaced over the whole sample, that the shared base is trained on.
-BASE_PIECES = 20_000
+BASE_PIECES = 8_000
 BASE_BYTES, OWN_BYTES = 12288, 1024
 #: Gains (bytes saved under the toxic dictionary) from which a window counts.
 STEPS = (1, 2, 3, 4, 6)
@@ -80,17 +80,17 @@ def grams(text: bytes, n: int) -> np.ndarray:
 def typical(kinds: list[list[bytes]], n: int) -> list[np.ndarray]:
     """For each class the ``TYPICAL`` byte strings of length ``n`` that speak most for it, sorted.
 
-    Counted in as many parts of the strings as keep a part to about 8 M of them, so that memory stays bounded.
+    Counted in as many parts of the strings as keep a part to about 3 M of them, so that memory stays bounded.
     """
-    parts = 1 + sum(len(t) for own in kinds for t in own) // (8 << 20)
+    parts = 1 + sum(len(t) for own in kinds for t in own) // (3 << 20)
     best: list[list] = [[], []]
     for part in range(parts):
         share = []
         for own in kinds:
             held = []
             for t in own:
-                g = np.unique(grams(t, n))
-                held.append(g[g % np.uint64(parts) == part] if parts > 1 else g)
+                g = grams(t, n)
+                held.append(np.unique(g[g % np.uint64(parts) == part] if parts > 1 else g))
             share.append(np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True))
         for k in (0, 1):
             (found, count), (other, against) = share[k], share[1 - k]
