@@ -30,7 +30,7 @@ BASE_BYTES, OWN_BYTES = 12288, 1024
 #: Gains (bytes saved under the toxic dictionary) from which a window counts.
 STEPS = (1, 2, 3, 4, 6)
 #: The filter's threshold costs at most this share of ordinary labelled documents, out of fold.
-CLEAN_LOSS = 0.01
+CLEAN_LOSS = 0.005
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
