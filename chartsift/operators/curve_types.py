@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Keywords and weights of each curve type.
 SPECS = {
@@ -58,6 +59,15 @@ SPECS = {
         ],
     },
 }
+# How each curve type is extracted, the score its detections need, the numbers of curves it may have (none: by chart).
+EXTRACTION = {
+    "capacitance_vs_vds": ("model", 0.5, (3,)),
+    "id_vs_vgs": ("model", 0.5, (3,)),
+    "rdson_vs_tj": ("classical", 0.5, (1, 2)),
+    "vgsth_vs_tj": ("classical", 0.5, None),
+    "if_vs_vsd": ("model", 0.5, None),
+    "vgs_vs_qg": ("none", 0.0, (0,)),
+}
 RULE = "curve_type string, source string, axis string, keyword string, weight double"
 
 
@@ -87,3 +97,25 @@ def rule_rows(types: list[str] | None = None) -> list[tuple]:
 
 def rules(spark: SparkSession, types: list[str] | None = None) -> DataFrame:
     return spark.createDataFrame(rule_rows(types), RULE)
+
+
+def extraction_spec(curve_type: str) -> tuple:
+    """(method, score, numbers of curves); an unregistered type is a KeyError that names those there are. A type without an
+    extractor is registered, with the method ``none``."""
+    if curve_type not in EXTRACTION:
+        raise KeyError(f"no extraction for {curve_type!r}; there are {', '.join(sorted(EXTRACTION))}")
+    return EXTRACTION[curve_type]
+
+
+def route(curve_type: Column) -> Column:
+    """struct(method, least_score, reason): how a figure of this type is extracted, or why it can't be."""
+    table = F.create_map(*[x for k, (m, score, _) in EXTRACTION.items() for x in (F.lit(k), F.struct(F.lit(m).alias("method"), F.lit(score).alias("least_score")))])
+    own = F.when(curve_type.isNotNull(), F.try_element_at(table, curve_type))
+    reason = F.when(own.isNull(), "unregistered").when(own["method"] == "none", "no extractor")
+    return F.struct(F.when(reason.isNull(), own["method"]).alias("method"), F.when(reason.isNull(), own["least_score"]).alias("least_score"), reason.alias("reason"))
+
+
+def count_allowed(curve_type: Column, n: Column) -> Column:
+    """Whether a type may have ``n`` curves; NULL where the chart decides or the type is unregistered."""
+    checks = [F.when(curve_type == k, n.isin(*counts)) for k, (_, _, counts) in EXTRACTION.items() if counts is not None]
+    return F.coalesce(*checks)

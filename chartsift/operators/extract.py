@@ -48,6 +48,35 @@ def process(figures: DataFrame, names: list[str], units: Column | None = None, s
     )
 
 
+def clamp_confidence(r_squared: Column) -> Column:
+    """A fit's r squared within [0, 1]; no fit is 0."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(r_squared, F.lit(0.0))))
+
+
+def with_log_flags(calibration: Column) -> Column:
+    """A calibration that names its scales (``x_scale``, ``y_scale``) with ``x_log`` and ``y_log`` besides; a NULL scale isn't log."""
+    flag = lambda c: F.coalesce(calibration[c] == "log", F.lit(False))
+    return F.when(calibration.isNotNull(), calibration.withField("x_log", flag("x_scale")).withField("y_log", flag("y_scale")))
+
+
+def for_review(figures: DataFrame, reason: Column, curve_name: str, units: str) -> DataFrame:
+    """Results of ``(device, curve_type, source_image, calibration, points)`` that a person has to see: one curve of no confidence with
+    the points there are; units only where there is a calibration."""
+    none = F.expr("CAST(array() AS array<struct<x:double,y:double>>)")
+    curve = F.struct(F.lit(curve_name).alias("curve_name"), F.lit(0.0).alias("confidence"), F.coalesce("points", none).alias("points"))
+    return figures.select(
+        "device", "curve_type", "source_image", F.lit("needs_review").alias("status"), reason.alias("review_reason"), F.lit(0).alias("duplicates_removed"), "calibration", F.array(curve).alias("curves"),
+        F.when(F.col("calibration").isNotNull(), units).alias("units"),
+    )
+
+
+def without_twins(curve_type: Column, items: Column) -> Column:
+    """struct(items, removed): detections over time lose those that share half their cells with a better one; other types, and a
+    NULL one, keep all."""
+    kept = F.when(curve_type == "zth_vs_time", nms(items, spatial=False)).otherwise(items)
+    return F.struct(kept.alias("items"), (F.size(items) - F.size(kept)).alias("removed"))
+
+
 def quarantined(results: DataFrame, reason: Column) -> DataFrame:
     """Results with their curves, calibration and units, but for review where ``reason`` isn't NULL."""
     return results.withColumns({"status": F.when(reason.isNotNull(), "needs_review").otherwise(F.col("status")), "review_reason": F.coalesce(reason, F.col("review_reason"))})

@@ -43,18 +43,6 @@ def with_fallback(first: DataFrame, second: DataFrame, keys: list[str]) -> DataF
     return first.unionByName(second.join(first.select(*keys).distinct(), keys, "left_anti"))
 
 
-def gaps(profile: DataFrame, by: list[str], length: Column) -> DataFrame:
-    """Cuts along an axis from ``(by, i, white)`` shares: runs of white rows of ``CORE`` and more, united over less than ``MERGE``,
-    away from the margins: ``by + (start, stop, centre)``."""
-    from .islands import merge_gaps, runs
-
-    on = runs(profile.withColumn("on", F.col("white") >= WHITE), by, "i", "on").where(F.col("n") >= CORE)
-    merged = merge_gaps(on.drop("n"), by, "start", "stop", MERGE)
-    centre = (F.col("start") + F.col("stop")) / 2
-    sized = merged.join(profile.groupBy(*by).agg(length.alias("length")), by)
-    return sized.withColumn("centre", centre).where(centre.between(MARGIN * F.col("length"), (1 - MARGIN) * F.col("length"))).select(*by, "start", "stop", "centre")
-
-
 def crop_regions(xs: Column, ys: Column) -> Column:
     """array<struct(x1, y1, x2, y2)> of the grid between cut positions (ends included), by rows."""
     rows = F.transform(F.sequence(F.lit(0), F.size(ys) - 2), lambda r: F.transform(F.sequence(F.lit(0), F.size(xs) - 2), lambda c: F.struct(F.get(xs, c).alias("x1"), F.get(ys, r).alias("y1"), F.get(xs, c + 1).alias("x2"), F.get(ys, r + 1).alias("y2"))))
@@ -66,7 +54,7 @@ def assign_lines(regions: DataFrame, lines: DataFrame, by: list[str]) -> DataFra
     cx, cy = (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
     r = regions.select(*by, "region", *[F.col(c).alias("r" + c) for c in ("x1", "y1", "x2", "y2")])
     j = lines.join(r, by).where(cx.between(F.col("rx1"), F.col("rx2")) & cy.between(F.col("ry1"), F.col("ry2")))
-    return j.select(*by, "region", "text", *[F.greatest(F.lit(0), F.col(c) - F.col("r" + c[0] + "1")).alias(c) for c in ("x1", "y1", "x2", "y2")])
+    return j.select(*by, "region", *[c for c in ("pos",) if c in lines.columns], "text", *[F.greatest(F.lit(0), F.col(c) - F.col("r" + c[0] + "1")).alias(c) for c in ("x1", "y1", "x2", "y2")])
 
 
 def trace(pixels: DataFrame, by: list[str], step: int = 1) -> DataFrame:

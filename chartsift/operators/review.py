@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 STATUSES = ("finalized", "needs_review", "pending_review", "rejected", "failed_classification", "failed_extraction")
 QUEUED = ("needs_review", "pending_review", "failed_classification", "failed_extraction")
 LOW_CONFIDENCE = 0.7
+DECISIONS = ("approve", "reject")
 
 
 def status(classified: Column, extracted: Column, decision: Column, violation: Column) -> Column:
@@ -63,3 +64,36 @@ def upsert(state: DataFrame, change: DataFrame) -> DataFrame:
     """State rows ``(key, decision, decided_at)`` with the later decision of each key; ties to the change."""
     both = state.withColumn("o", F.lit(0)).unionByName(change.withColumn("o", F.lit(1)))
     return latest(both, ["key"], [F.desc("decided_at"), F.desc("o"), "decision"]).drop("o")
+
+
+def state_violation(key: Column, decision: Column) -> Column:
+    """Why a row is no part of a review state: a key that isn't ``device::curve_type``, or an unknown decision; else NULL."""
+    return F.when(~F.coalesce(F.contains(key, F.lit("::")), F.lit(False)), "key").when(~F.coalesce(decision.isin(*DECISIONS), F.lit(False)), "decision")
+
+
+STATE = "key string, decision string, decided_at string"
+
+
+def load_state(spark: SparkSession, path: str) -> DataFrame:
+    """A state file, an object of ``key: {decision, decided_at}``, as rows. A file that is missing, no such object or invalid in
+    any entry is an empty state, so that a review can go on. Decisions are made by people: the file is small."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException:
+        return spark.createDataFrame([], STATE)
+    entry = F.from_json("value", "map<string,struct<decision:string,decided_at:string>>")
+    rows = text.select(F.explode(F.map_entries(entry)).alias("e")).select("e.key", "e.value.decision", "e.value.decided_at")
+    bad = rows.where(state_violation(F.col("key"), F.col("decision")).isNotNull())
+    return rows if bad.isEmpty() else spark.createDataFrame([], STATE)
+
+
+def save_state(state: DataFrame, path: str) -> None:
+    """Rows of a state as one object, keys in order; an error, and nothing written, if a row is invalid or a key is repeated."""
+    bad = state.where(state_violation(F.col("key"), F.col("decision")).isNotNull())
+    if not bad.isEmpty() or not state.groupBy("key").count().where("count > 1").isEmpty():
+        raise ValueError("invalid rows in the review state")
+    pair = F.struct("key", F.struct("decision", "decided_at"))
+    whole = state.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(pair)))).alias("value"))
+    whole.write.mode("overwrite").text(path)

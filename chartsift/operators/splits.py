@@ -84,6 +84,56 @@ def renumber(parts: list[DataFrame], order: list[str], new: str = "new_id") -> D
     return out.withColumn(new, F.row_number().over(W.orderBy("part", *order)))
 
 
+def digest(rows: DataFrame) -> tuple:
+    """Number of rows and two order-free sums over their hashes, by which two tables of the same columns are told apart."""
+    h = F.xxhash64(*sorted(rows.columns))
+    out = rows.agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s")).first()
+    return out.n, out.x, out.s
+
+
+def merge_batch(sides: dict[str, tuple[DataFrame, DataFrame]], images: DataFrame, annotations: DataFrame, count: int | None = None, target: int | None = None) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """A new batch added to the sides train and val, whole families at a time (``smallest_first``); test comes back as it was.
+
+    ``sides``: side to (images ``id, ...``, annotations ``id, image_id, ...``) of the same columns as the batch, whose images have
+    ``family`` besides. Ids start anew at 1, the old part first, each by its old id; an annotation without image goes.
+    Ids of images are distinct within a part; annotations that repeat one go by image and content. Only ids are numbered in one place, rows follow by a join. An empty batch leaves the rows as they are, numbered anew.
+    """
+    sizes = images.groupBy("family").agg(F.count("*").alias("images"))
+    side = smallest_first(sizes, "family", "images", count, target).select("family", "side")
+    dealt = images.join(side, "family")
+    out = {"test": sides["test"]}
+    for name in ("train", "val"):
+        old, old_notes = sides[name]
+        new = dealt.where(F.col("side") == name)
+        both = old.withColumn("part", F.lit(0)).unionByName(new.select(*old.columns).withColumn("part", F.lit(1)))
+        notes = old_notes.withColumn("part", F.lit(0)).unionByName(annotations.select(*old_notes.columns).withColumn("part", F.lit(1)))
+        ids = renumber([both.where("part = 0").select("id"), both.where("part = 1").select("id")], ["id"])
+        held = notes.join(ids.select("part", F.col("id").alias("image_id"), F.col("new_id").alias("new_image")), ["part", "image_id"])
+        rest = [c for c in old_notes.columns if c not in ("id", "image_id")]
+        held = held.withColumn("twin", F.row_number().over(W.partitionBy("part", "id").orderBy("new_image", *rest)))
+        own = renumber([held.where(F.col("part") == p).select("id", "twin") for p in (0, 1)], ["id", "twin"])
+        kept = both.join(ids, ["part", "id"]).select(F.col("new_id").alias("id"), *[c for c in old.columns if c != "id"])
+        said = held.join(own, ["part", "id", "twin"]).select(F.col("new_id").alias("id"), F.col("new_image").alias("image_id"), *rest)
+        out[name] = (kept, said)
+    return out
+
+
+def write_sides(sides: dict[str, tuple[DataFrame, DataFrame]], path: str) -> DataFrame:
+    """Images and annotations of each side as Parquet, and a manifest with their counts; an error if what is read back of the
+    test side differs from what was given."""
+    before = [digest(df) for df in sides["test"]]
+    spark, rows = sides["test"][0].sparkSession, []
+    for side, tables in sides.items():
+        for kind, df in zip(("images", "annotations"), tables):
+            df.write.mode("overwrite").parquet(f"{path}/{side}/{kind}")
+            rows.append((side, kind, spark.read.parquet(f"{path}/{side}/{kind}").count()))
+    if [digest(spark.read.parquet(f"{path}/test/{kind}")) for kind in ("images", "annotations")] != before:
+        raise ValueError("the test side changed while it was written")
+    manifest = spark.createDataFrame(rows, "side string, kind string, n bigint")
+    manifest.write.mode("overwrite").json(f"{path}/manifest")
+    return manifest
+
+
 def collect_status(files: DataFrame) -> DataFrame:
     """``(name, copies, status)``: files of one name are the same everywhere, or in conflict."""
     return files.groupBy("name").agg(F.count("*").alias("copies"), F.when(F.count_distinct(F.sha2("content", 256)) == 1, "copied").otherwise("conflict").alias("status"))
@@ -129,7 +179,7 @@ def composite_candidates(figures: DataFrame, by: list[str]) -> DataFrame:
     return j.withColumn("candidate", F.coalesce((F.col("width") * F.col("height") > 2 * F.col("m_area")) | (F.col("width") > 1.8 * F.col("m_width")) | (ratio > 2.2) | (ratio < 1 / 2.2), F.lit(False))).drop("m_area", "m_width")
 
 
-def centre_out(centres: Column, width: Column, least: float, most: int = 3) -> Column:
+def centre_out(centres: Column, width: Column, least: float | Column, most: int = 3) -> Column:
     """Cuts taken from the middle outwards as long as every part keeps ``least``, at most ``most`` and as many as fit."""
     by = F.array_sort(F.transform(centres, lambda c: F.struct(F.abs(c - width / 2).alias("d"), c.alias("c"))))
     fits = F.least(F.lit(most), F.floor(width / least).cast("int") - 1)

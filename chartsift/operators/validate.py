@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 EXPECTED_NAMES = {"capacitance_vs_vds": ("Ciss", "Coss", "Crss"), "rdson_vs_tj": ("rdson",)}
 PLAUSIBLE = {"capacitance_vs_vds": (None, None, 0.1, 1e6), "rdson_vs_tj": (-75.0, 200.0, None, None), "vgsth_vs_tj": (-75.0, 200.0, None, None)}
 
+# On-resistances that are plausible in their unit, and the stroke's thickness (pixels) from which two lines have merged.
+RDSON = {"normalized": (0.3, 5.0), "mOhm": (0.05, 100_000.0), "Ohm": (0.00005, 100.0)}
+THICK = 18
+
 
 def first_of(*checks: tuple[Column, str | Column]) -> Column:
     """The message of the first condition that holds, NULL if none does (an unknown condition doesn't hold)."""
@@ -52,6 +56,20 @@ def implausible(curve_type: Column, curves: Column, specs=PLAUSIBLE) -> Column:
     return F.coalesce(*out) if out else F.lit(None).cast("string")
 
 
+def implausible_rdson(unit: Column, low: Column, high: Column) -> Column:
+    """Why a curve's least and largest on-resistance can't be in this unit; NULL if they can. Bounds belong to the range; an
+    unknown unit or a curve without values isn't judged."""
+    out = [F.when((unit == u) & ((low < a) | (high > b)), F.concat(F.lit("implausible on-resistance in "), F.lit(u))) for u, (a, b) in RDSON.items()]
+    return F.coalesce(*out)
+
+
+def merged_lines(pixels: DataFrame, by: list[str]) -> DataFrame:
+    """``by + (thickness, merged)``: the median number of pixels in a column of a curve, and whether that is over ``THICK``, as where a
+    second line runs along."""
+    column = pixels.groupBy(*by, "x").agg(F.count("*").alias("n"))
+    return column.groupBy(*by).agg(F.percentile("n", 0.5).alias("thickness")).withColumn("merged", F.col("thickness") > THICK)
+
+
 def final_violation(curve_type: Column, names: Column, units: Column, calibrated: Column, expected=EXPECTED_NAMES) -> Column:
     """Why a result can't be final: no list of names for its type, missing names, unexpected names, units, calibration."""
     table = F.create_map(*[x for k, v in expected.items() for x in (F.lit(k), F.array(*[F.lit(n) for n in v]))])

@@ -1,6 +1,6 @@
 """Registered queries and their oracles."""
 
-from . import figure_queries, numeric_queries, rule_queries, shape_queries, text_queries  # noqa: F401
+from . import figure_queries, numeric_queries, result_queries, rule_queries, shape_queries, text_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartsift.functions import geometry, names, parsing
-from chartsift.operators import extract, figures, fit, islands, metrics, naming, review, rules, splits, ticks, validate
+from chartsift.operators import composites, curve_types, extract, figures, fit, islands, metrics, naming, review, rules, splits, ticks, validate
 from chartsift.plans import batch
 from chartsift.sources import documents, part_lists
 from chartsift.streaming import status as streaming
@@ -302,8 +302,6 @@ def test_figures(spark):
     assert [(r.text, tuple(r.box)) for r in figures.ocr_lines(doc, ["d"]).orderBy("pos").collect()] == [("A", (1, 2, 3, 4)), ("B", (0, 0, 0, 0))]
     box = spark.createDataFrame([([1.0, 1.0, 2.0, 1.0, 2.0, 3.0, 1.0, 3.0],), ([1.0],)], "p array<double>").select(figures.region_box(F.col("p"), F.lit(405), F.lit(5000))).collect()
     assert tuple(box[0][0]) == (190, 190, 405, 610) and box[1][0] is None
-    prof = spark.createDataFrame([(1, i, 1.0 if 40 <= i < 50 or 75 <= i < 82 or i < 8 else 0.5) for i in range(150)], "f int, i int, white double")
-    assert [(r.start, r.stop) for r in figures.gaps(prof, ["f"], F.count("*")).collect()] == [(40, 81)]
     reg = spark.createDataFrame([(1, 0, 0, 0, 10, 10), (1, 1, 10, 0, 20, 10)], "f int, region int, x1 int, y1 int, x2 int, y2 int")
     lines = spark.createDataFrame([(1, "edge", 9, 1, 11, 3), (1, "right", 12, 1, 14, 3)], "f int, text string, x1 int, y1 int, x2 int, y2 int")
     assert sorted((r.text, r.region, r.x1) for r in figures.assign_lines(reg, lines, ["f"]).collect()) == [("edge", 0, 9), ("edge", 1, 0), ("right", 1, 2)]
@@ -367,3 +365,103 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/o/devices").first().Cost == 2.0 and spark.read.parquet(f"{tmp_path}/o/skipped").count() == 1
     (tmp_path / "n.txt").write_text("A1__x.png\n")
     assert main(["split", f"file://{tmp_path}/n.txt", f"file://{tmp_path}/s"]) == 1
+
+
+def plain_cuts(white, length, least):
+    """The rule of ``composites.white_cuts`` as a loop over one axis."""
+    bands, i = [], 0
+    while i < length:
+        j = i
+        while j < length and white[j] >= 0.995:
+            j += 1
+        if j > i:
+            if bands and i - bands[-1][1] < 30:
+                bands[-1][1] = j
+            else:
+                bands.append([i, j])
+        i = max(j, i + 1)
+    margin = int(length * 0.12)
+    places = [a + (b - a) // 3 for a, b in bands if b - a >= 5]
+    out = []
+    for c in sorted((c for c in places if margin <= c <= length - margin), key=lambda c: (abs(c - length / 2), c)):
+        edges = [0, *sorted([*out, c]), length]
+        if len(out) < min(length // least - 1, 3) and all(b - a >= least for a, b in zip(edges, edges[1:])):
+            out.append(c)
+    return sorted(out) if length >= 2 * least else []
+
+
+def test_white_cuts_are_those_of_a_loop(spark):
+    draw = random.Random(5)
+    rows, want, sizes = [], {}, []
+    for f in range(40):
+        w, h = draw.randrange(150, 1300), draw.randrange(120, 700)
+        sizes.append((f, float(w), float(h)))
+        for axis, length, least in (("x", w, 200), ("y", h, 150)):
+            white = [0.5] * length
+            for _ in range(draw.randrange(0, 9)):
+                a = draw.randrange(length)
+                for i in range(a, min(length, a + draw.randrange(1, 40))):
+                    white[i] = draw.choice((1.0, 1.0, 1.0, 1.0, 0.995))
+            rows += [(f, axis, i, v) for i, v in enumerate(white)]
+            cut = plain_cuts(white, length, least)
+            if cut:
+                want[f, axis] = cut
+    profile = spark.createDataFrame(rows, "f int, axis string, i int, white double")
+    got = composites.white_cuts(profile, spark.createDataFrame(sizes, "f int, width double, height double"), ["f"]).collect()
+    assert {(r.f, r.axis): list(r.cuts) for r in got} == want and len(want) > 10
+
+
+def test_composites_split_by_titles_or_are_suspect(spark):
+    fig = [("d", 0, 900.0, 300.0, None, False, False), ("d", 1, 900.0, 300.0, "Pair", False, False), ("d", 2, 300.0, 300.0, "One", None, None), ("d", 3, 900.0, 300.0, "Box", True, False), ("d", 4, 0.0, 300.0, "Typical Characteristics", False, False)]
+    f = spark.createDataFrame(fig, "d string, n int, width double, height double, caption string, package_outline boolean, parted boolean")
+    line = [("d", 0, 0, "Fig. 7 left", 100, 10, 200, 20), ("d", 0, 1, "VDS (V)", 150, 280, 250, 290), ("d", 0, 2, "Gate charge (nC)", 650, 280, 750, 290), ("d", 1, 0, "nothing", 0, 0, 9, 9), ("d", 2, 0, "x", 0, 0, 9, 9), ("d", 3, 0, "x", 0, 0, 9, 9), ("d", 4, 0, "x", 0, 0, 9, 9)]
+    lines = spark.createDataFrame(line, "d string, n int, pos int, text string, x1 int, y1 int, x2 int, y2 int")
+    profile = spark.createDataFrame([("d", n, "x", i, 0.6 if n == 0 else 0.2) for n in (0, 1) for i in range(900)], "d string, n int, axis string, i int, white double")
+    got = [tuple(r) for r in composites.split(f, lines, profile, ["d"], "n").orderBy("n").select("n", "source_index", "region", "caption", "x1", "x2", "ocr_text", "suspect").collect()]
+    assert got == [
+        (0, 0, 0, "Fig. 7 left", 0, 450, ["Fig. 7 left", "VDS (V)"], False), (1, 0, 1, "Unknown (sub 2)", 450, 900, ["Gate charge (nC)"], False), (2, 1, None, "Pair", 0, 900, ["nothing"], True),
+        (3, 2, None, "One", 0, 300, ["x"], False), (4, 3, None, "Box", 0, 900, ["x"], False), (5, 4, None, "Typical Characteristics", 0, 0, ["x"], False),
+    ]
+    assert composites.split(f.limit(0), lines.limit(0), profile.limit(0), ["d"], "n").count() == 0
+
+
+def test_batches_add_to_train_and_val_and_leave_test(spark, tmp_path):
+    img = lambda *r: spark.createDataFrame(list(r), "id int, file string")
+    note = lambda *r: spark.createDataFrame(list(r), "id int, image_id int, label string")
+    sides = {"train": (img((5, "a"), (9, "b")), note((1, 9, "b1"), (2, 5, "a1"))), "val": (img((5, "v")), note((3, 77, "lost"))), "test": (img((1, "t")), note((1, 1, "t1")))}
+    new = spark.createDataFrame([(5, "n1", "F"), (6, "n2", "F"), (7, "n3", "G")], "id int, file string, family string")
+    out = splits.merge_batch(sides, new, note((1, 5, "n1a"), (2, 7, "n3a"), (3, 50, "lost")), count=1)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(out["train"][0]) == [(1, "a"), (2, "b"), (3, "n1"), (4, "n2")] and rows(out["train"][1]) == [(1, 2, "b1"), (2, 1, "a1"), (3, 3, "n1a")]
+    assert rows(out["val"][0]) == [(1, "v"), (2, "n3")] and rows(out["val"][1]) == [(1, 2, "n3a")]
+    manifest = splits.write_sides(out, f"file://{tmp_path}/s")
+    assert {(r.side, r.kind): r.n for r in manifest.collect()}["test", "annotations"] == 1 and splits.digest(img((1, "t"))) == splits.digest(spark.read.parquet(f"file://{tmp_path}/s/test/images"))
+    assert splits.digest(img((1, "t"))) != splits.digest(img((1, "u"))) and splits.digest(img((1, "t"))) != splits.digest(img((1, "t"), (1, "t"), (1, "t")))
+
+
+def test_review_state_is_saved_whole_and_loaded_tolerantly(spark, tmp_path):
+    path = f"file://{tmp_path}/state"
+    state = spark.createDataFrame([("b::c", "reject", "2"), ("a::c", "approve", "1")], review.STATE)
+    review.save_state(state, path)
+    assert sorted(tuple(r) for r in review.load_state(spark, path).collect()) == [("a::c", "approve", "1"), ("b::c", "reject", "2")]
+    for bad in ([("a", "approve", "1")], [("a::c", "perhaps", "1")], [("a::c", "reject", "1"), ("a::c", "approve", "1")], [(None, "reject", "1")]):
+        with pytest.raises(ValueError):
+            review.save_state(spark.createDataFrame(bad, review.STATE), path)
+    assert review.load_state(spark, path).count() == 2 and review.load_state(spark, f"{path}_none").count() == 0
+    for i, text in enumerate(("{", "[1]", '{"a::b": 3}', '{"a": {"decision": "approve"}}', '{"a::b": {"decision": "x"}}', "")):
+        (tmp_path / f"f{i}").write_text(text)
+        assert review.load_state(spark, f"file://{tmp_path}/f{i}").count() == 0
+
+
+def test_routes_gates_and_twins(spark):
+    assert column(spark, lambda c: curve_types.route(c)["reason"], ["id_vs_vgs", "vgs_vs_qg", "zth_vs_time", None]) == [None, "no extractor", "unregistered", "unregistered"]
+    with pytest.raises(KeyError, match="rdson_vs_tj"):
+        curve_types.extraction_spec("zth_vs_time")
+    assert curve_types.extraction_spec("rdson_vs_tj") == ("classical", 0.5, (1, 2))
+    assert column(spark, extract.clamp_confidence, [1.5, -2.0, 0.25, None], "double") == [1.0, 0.0, 0.25, 0.0]
+    assert column(spark, lambda c: validate.implausible_rdson(c, F.lit(0.01), F.lit(3.0)), ["normalized", "mOhm", "Ohm", "V", None]) == ["implausible on-resistance in normalized", "implausible on-resistance in mOhm", None, None, None]
+    pixels = spark.createDataFrame([(f, x, y) for f, n in ((1, 18), (2, 19)) for x in range(3) for y in range(n)], "f int, x int, y int")
+    assert {r.f: r.merged for r in validate.merged_lines(pixels, ["f"]).collect()} == {1: False, 2: True}
+    items = "array<struct<score:double,ord:bigint,cells:array<bigint>,mean_y:double,x1:double,x2:double>>"
+    d = spark.createDataFrame([(t, [(0.9, 1, [1, 2, 3], 0.0, 0.0, 9.0), (0.8, 2, [1, 2], 0.0, 0.0, 9.0), (0.7, 3, [8], 0.0, 0.0, 9.0)]) for t in ("zth_vs_time", "id_vs_vgs", None)], f"t string, items {items}")
+    assert [(r.x.removed, len(r.x["items"])) for r in d.select(extract.without_twins(F.col("t"), F.col("items")).alias("x")).collect()] == [(1, 2), (0, 3), (0, 3)]
