@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.parsing import as_double, exponent_value, tick_value
 
 # Zones as shares of the figure, the largest label, and the labels that may be powers of ten run together.
-LOW, LEFT, CORNER, EDGE, LARGEST = 0.70, 0.30, 0.15, 0.20, 9_999_999.0
+# ``HIGH`` and ``RIGHT`` mirror ``LOW`` and ``LEFT``; 1 - 0.70 is above 0.30 in doubles.
+LOW, LEFT, HIGH, RIGHT, CORNER, EDGE, LARGEST = 0.70, 0.30, 0.30, 0.70, 0.15, 0.20, 9_999_999.0
 
 
 def _read(lines: DataFrame, by: list[str], axis_of) -> DataFrame:
@@ -56,7 +57,7 @@ def opposite_ticks(lines: DataFrame, by: list[str]) -> DataFrame:
     """The same for labels at the top (x) and far right (y); there is no corner rule, and powers go right before top."""
 
     def axis_of(across, down, value, exponent):
-        top, right = down < 1 - LOW, across > 1 - LEFT
+        top, right = down < HIGH, across > RIGHT
         return F.when(exponent, F.when(right, "y").when(top, "x")).when(top, "x").when(right, "y")
 
     return drop_stray_zero(repair_exponents(_read(lines, by, axis_of), [*by, "axis"]), [*by, "axis"])

@@ -205,6 +205,12 @@ def test_ticks(spark):
     assert sorted((r.f, r.value) for r in ticks.drop_stray_zero(z, ["f"]).collect()) == [(1, 1.0), (1, 10.0), (2, 0.0), (2, 1.0), (2, 5.0)]
 
 
+def test_ticks_on_the_borders_of_zones(spark):
+    rows = [(1, "7", 480.0, 295.0), (1, "8", 480.0, 294.0), (1, "9", 680.0, 495.0), (1, "11", 681.0, 495.0)]
+    df = spark.createDataFrame([(f, t, x, y, x + 40, y + 10, 1000.0, 1000.0) for f, t, x, y in rows], "f int, text string, x1 double, y1 double, x2 double, y2 double, width double, height double")
+    assert sorted((r.axis, r.value) for r in ticks.dual_side_ticks(df, ["f"]).collect()) == [("x", 8.0), ("y", 11.0)]
+
+
 def test_naming(spark):
     pts = spark.createDataFrame([("f", c, float(x), float(10 + 20 * c)) for c in (0, 1) for x in range(0, 100, 10)], "f string, curve int, px double, py double")
     lab = lambda *rows: spark.createDataFrame([("f", i, t, x, y) for i, (t, x, y) in enumerate(rows)], "f string, label int, text string, lx double, ly double")
