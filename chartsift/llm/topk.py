@@ -10,7 +10,6 @@ start: its k-th best product in a sample of the rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -24,10 +23,22 @@ LEVELS = (4, 16)
 QUERY_BYTES = 16 << 20
 #: Rows whose products with a query say what its best must reach at least; exact for any number.
 SAMPLE = 4096
-#: Rows that are compared at once.
+#: Pairs of a query and a row that are compared at once, and doubles that pairs' vectors may take in one step: what a task
+#: holds beside the queries and a batch of rows doesn't grow with their number.
+PAIRS, STEP = 1 << 19, 1 << 20
+#: Result rows that a task hands on at once.
 ROWS = 4096
 
 
+def tiles(queries: int, rows: int):
+    """Slices (of the queries, of the rows) with ``PAIRS`` pairs at most."""
+    wide = min(rows, max(1, int(PAIRS**0.5)))
+    high = max(1, PAIRS // max(1, wide))
+    for c in range(0, rows, wide or 1):
+        for r in range(0, queries, high):
+            yield slice(r, r + high), slice(c, c + wide)
+
+
 def segment_stats(x: np.ndarray, count: int) -> np.ndarray:
     """sqrt(n) * means and sqrt(n) * deviations of ``count`` near-equal segments, side by side."""
     parts = [p for p in np.array_split(np.arange(x.shape[1]), min(count, max(1, x.shape[1]))) if len(p)]
@@ -37,11 +48,17 @@ def segment_stats(x: np.ndarray, count: int) -> np.ndarray:
     return np.concatenate([means * root, devs * root], axis=1)
 
 
+def steps(pairs: int, width: int):
+    """Slices of so many pairs that their vectors of ``width`` numbers take ``STEP`` doubles at most."""
+    n = max(1, STEP // max(1, width))
+    return (slice(at, at + n) for at in range(0, pairs, n))
+
+
 def survivors(qs: np.ndarray, xs: np.ndarray, q2: np.ndarray, x2: np.ndarray, floor: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the (query, row) pairs those whose distance bound allows an inner product of ``floor`` at least."""
     keep = []
-    for at in range(0, len(rows), 1 << 18):
-        r, c = rows[at : at + (1 << 18)], cols[at : at + (1 << 18)]
+    for s in steps(len(rows), qs.shape[1]):
+        r, c = rows[s], cols[s]
         low = ((qs[r] - xs[c]) ** 2).sum(axis=1)
         bound = (q2[r] + x2[c] - low) / 2
         keep.append(bound + 1e-6 * (q2[r] + x2[c]) + 0.5 >= floor[r])
@@ -49,11 +66,19 @@ def survivors(qs: np.ndarray, xs: np.ndarray, q2: np.ndarray, x2: np.ndarray, fl
     return rows[keep], cols[keep]
 
 
+def candidates(qs: np.ndarray, xs: np.ndarray, q2: np.ndarray, x2: np.ndarray, floor: np.ndarray) -> np.ndarray:
+    """For all pairs of a tile at once whether the same bound allows ``floor``: with |s_q - s_x|^2 multiplied out, the bound
+    is the product of small matrices plus a number for each query and one for each row."""
+    of_q = (0.5 + 1e-6) * q2 - (qs**2).sum(axis=1) / 2 + 0.5 - np.maximum(floor, -1e300)
+    of_x = (0.5 + 1e-6) * x2 - (xs**2).sum(axis=1) / 2
+    return np.c_[qs, of_q, np.ones(len(qs))] @ np.c_[xs, np.ones(len(xs)), of_x].T >= 0
+
+
 def products(qs: np.ndarray, xs: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """Inner products of the (query, row) pairs; in whole numbers of any size where doubles might not hold them."""
     if len(rows) and np.sqrt((qs**2).sum(axis=1).max() * (xs**2).sum(axis=1).max()) >= 2.0**52:
         return np.array([sum(int(a) * int(b) for a, b in zip(qs[r], xs[c])) for r, c in zip(rows, cols)], object)
-    return np.concatenate([np.einsum("ij,ij->i", qs[rows[a : a + (1 << 18)]], xs[cols[a : a + (1 << 18)]]) for a in range(0, len(rows), 1 << 18)] or [np.empty(0)])
+    return np.concatenate([np.einsum("ij,ij->i", qs[rows[s]], xs[cols[s]]) for s in steps(len(rows), qs.shape[1])] or [np.empty(0)])
 
 
 def matrices(batch: pa.RecordBatch):
@@ -66,39 +91,74 @@ def matrices(batch: pa.RecordBatch):
         yield int(n), own, ids[own], flat[(ends[own] - n)[:, None] + np.arange(n)[None, :]].astype(np.float64)
 
 
+def at_most(score: np.ndarray) -> np.ndarray:
+    """Scores as doubles, not above the scores themselves."""
+    f = score.astype(np.float64)
+    return np.where(np.abs(f) >= 2.0**52, f - np.abs(f) * 1e-15, f)
+
+
 class Block:
-    """A block of queries of one length with the ten best candidates so far."""
+    """A block of queries of one length with the ``k`` best candidates so far, as arrays."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.x, self.k = ids, vectors, k
         self.x2 = (vectors**2).sum(axis=1)
         self.stats = [segment_stats(vectors, n) for n in LEVELS]
-        self.best = [[] for _ in ids]  # (score, -id), k at most
+        self.found = np.zeros(len(ids), np.int64)  # candidates kept of each query
+        self.score, self.of = np.zeros((len(ids), k)), np.zeros((len(ids), k), np.int64)  # best first
         self.floor = np.full(len(ids), -np.inf) if floor is None else floor.copy()
 
     def offer(self, ids: np.ndarray, x: np.ndarray) -> None:
         x2 = (x**2).sum(axis=1)
         stats = [segment_stats(x, n) for n in LEVELS]
-        # the coarsest bound for all pairs at once: |s_q - s_x|^2 as a product of small matrices
-        low = (self.stats[0] ** 2).sum(axis=1)[:, None] + (stats[0] ** 2).sum(axis=1)[None, :] - 2 * self.stats[0] @ stats[0].T
-        bound = (self.x2[:, None] + x2[None, :] - low) / 2
-        slack = 1e-6 * (self.x2[:, None] + x2[None, :]) + 0.5
-        rows, cols = np.nonzero(bound + slack >= self.floor[:, None])
-        for level in range(1, len(LEVELS)):
-            rows, cols = survivors(self.stats[level], stats[level], self.x2, x2, self.floor, rows, cols)
-        own = self.ids[rows] == ids[cols]
-        rows, cols = rows[~own], cols[~own]
-        score = products(self.x, x, rows, cols)
-        order = np.lexsort((ids[cols], -score, rows))
-        rows, cols, score = rows[order], cols[order], score[order]
-        first = np.searchsorted(rows, np.arange(len(self.ids)))
-        place = np.arange(len(rows)) - first[rows]
-        for r, c, s in zip(rows[place < self.k].tolist(), ids[cols[place < self.k]].tolist(), score[place < self.k].tolist()):
-            self.best[r].append((s, -c))
-        for r in np.unique(rows).tolist():
-            self.best[r] = sorted(set(self.best[r]), reverse=True)[: self.k]
-            if len(self.best[r]) == self.k:
-                self.floor[r] = self.best[r][-1][0]
+        for r, c in tiles(len(self.ids), len(ids)):
+            self._tile(r, ids[c], x[c], x2[c], [s[c] for s in stats])
+
+    def _tile(self, r: slice, ids: np.ndarray, x: np.ndarray, x2: np.ndarray, stats: list) -> None:
+        floor, q2, own = self.floor[r], self.x2[r], [s[r] for s in self.stats]
+        keep = candidates(own[0], stats[0], q2, x2, floor)
+        level = 1
+        while level < len(LEVELS) and np.count_nonzero(keep) * 8 > keep.size:  # most are left: all at once again
+            keep &= candidates(own[level], stats[level], q2, x2, floor)
+            level += 1
+        if np.count_nonzero(keep) * 8 > keep.size and np.sqrt(q2.max() * x2.max()) < 2.0**52:
+            # whole numbers below 2^52, so that no order of summing makes a difference
+            score = self.x[r] @ x.T
+            rows, cols = np.nonzero(keep & (score >= floor[:, None]))
+            score = score[rows, cols]
+        else:
+            rows, cols = np.nonzero(keep)
+            for at in range(level, len(LEVELS)):
+                rows, cols = survivors(own[at], stats[at], q2, x2, floor, rows, cols)
+            score = products(self.x[r], x, rows, cols)
+        high = (self.ids[r][rows] != ids[cols]) & (score >= floor[rows]).astype(bool)
+        self._keep(rows[high] + r.start, ids[cols[high]], score[high])
+
+    def _keep(self, rows: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        """Merges candidates into the best of their queries; a candidate that is there already counts once."""
+        if not len(rows):
+            return
+        if score.dtype == object and self.score.dtype != object:
+            self.score = self.score.astype(object)
+        touched = np.unique(rows)
+        old, place = np.nonzero(np.arange(self.k) < self.found[touched, None])
+        rows = np.r_[rows, touched[old]]
+        ids, score = np.r_[ids, self.of[touched[old], place]], np.r_[score, self.score[touched[old], place]]
+        order = np.lexsort((ids, -score, rows))
+        rows, ids, score = rows[order], ids[order], score[order]
+        new = np.r_[True, (rows[1:] != rows[:-1]) | (ids[1:] != ids[:-1]) | (score[1:] != score[:-1]).astype(bool)]
+        rows, ids, score = rows[new], ids[new], score[new]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        rows, ids, score, place = (a[place < self.k] for a in (rows, ids, score, place))
+        self.of[rows, place], self.score[rows, place] = ids, score
+        self.found[touched] = np.searchsorted(rows, touched, "right") - np.searchsorted(rows, touched)
+        full = touched[self.found[touched] == self.k]
+        self.floor[full] = np.maximum(self.floor[full], at_most(self.score[full, self.k - 1]))
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries, candidates and scores."""
+        rows, place = np.nonzero(np.arange(self.k) < self.found[:, None])
+        return self.ids[rows], self.of[rows, place], self.score[rows, place]
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -114,7 +174,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
     Candidates are all rows but those with the query's own id; vectors that are null or hold a null or non-finite
     component take no part; a query meets candidates of its own length only. Rows that repeat an id are candidates of their
     own (those of one score count once), and queries that repeat one with the same vector are one query. Queries are broadcast in
-    blocks of ``QUERY_BYTES``, each with the floor that a sample of the rows (the smallest hashed ids) sets it; every
+    blocks of ``QUERY_BYTES`` and compared ``PAIRS`` at a time, each with the floor that a sample of the rows (the smallest hashed ids) sets it; every
     partition keeps ``k`` candidates a query, and these meet by query. Fewer than ``k`` candidates give as many rows; an
     empty table none; extra columns play no part.
     """
@@ -132,34 +192,38 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
             for n, own, ids, q in matrices(batch):
                 if n in known.value:
                     of, x = known.value[n]
-                    score = np.where(of[None, :] == ids[:, None], -np.inf, q @ x.T)
-                    if score.shape[1] >= k:
-                        out[own] = np.partition(score, -k, axis=1)[:, -k]
+                    if len(of) < k:
+                        continue
+                    high = max(1, PAIRS // len(of))
+                    for at in range(0, len(ids), high):
+                        score = np.where(of[None, :] == ids[at : at + high, None], -np.inf, q[at : at + high] @ x.T)
+                        out[own[at : at + high]] = np.partition(score, -k, axis=1)[:, -k]
             # a product that doubles don't hold exactly may be off by its last places
             out = out - np.abs(np.where(np.isfinite(out), out, 0)) * 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(out)], ["id", "v", "floor"])
 
     def search(block: list) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
+        by_length: dict[int, list] = {}
+        for q in block:
+            by_length.setdefault(len(q[1]), []).append(q)
+        sent = spark.sparkContext.broadcast({n: (np.array([q[0] for q in own], np.int64), np.array([q[1] for q in own], np.float64).reshape(len(own), n), np.array([q[2] for q in own])) for n, own in by_length.items()})
 
         def work(batches):
-            by_length: dict[int, list] = {}
-            for q in sent.value:
-                by_length.setdefault(len(q[1]), []).append(q)
-            blocks = {n: Block(np.array([q[0] for q in own], np.int64), np.array([q[1] for q in own], np.float64).reshape(len(own), n), k, np.array([q[2] for q in own])) for n, own in by_length.items()}
+            blocks = {n: Block(ids, x, k, floor) for n, (ids, x, floor) in sent.value.items()}
             for batch in batches:
                 for n, _, ids, x in matrices(batch):
                     if n in blocks:
-                        for at in range(0, len(ids), ROWS):
-                            blocks[n].offer(ids[at : at + ROWS], x[at : at + ROWS])
-            out = [(q, -c, int(s)) for b in blocks.values() for q, best in zip(b.ids.tolist(), b.best) for s, c in best]
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64"), preserve_index=False)
+                        blocks[n].offer(ids, x)
+            for b in blocks.values():
+                query, vec, score = b.best()
+                for at in range(0, len(query), ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(query[at : at + ROWS]), pa.array(vec[at : at + ROWS]), pa.array([int(s) for s in score[at : at + ROWS].tolist()], pa.int64())], ["query_id", "vec_id", "score"])
 
         return rows.mapInArrow(work, "query_id long, vec_id long, score long")
 
     found, block, held = None, [], 0
     for row in asked.mapInArrow(floors, "id long, v array<double>, floor double").toLocalIterator():
-        block.append((row.id, row.v, row.floor))
+        block.append((row.id, np.array(row.v, np.float64), row.floor))
         held += 8 * len(row.v) + 64
         if held >= QUERY_BYTES:
             part, block, held = search(block), [], 0

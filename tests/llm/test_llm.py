@@ -452,6 +452,29 @@ def test_topk_matches_brute_force(spark, monkeypatch):
     assert [(r.vec_id, r.score) for r in topk.top_k(large, large.where("vec_id = 0")).orderBy("rank").collect()] == [(i, sum(a * b for a, b in zip(whole[0], whole[i]))) for i in (2, 1)]
 
 
+def test_topk_compares_a_bounded_number_of_pairs_at_once(monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(6000, 16)) * 1024)
+    ids, asked = np.arange(6000), np.arange(6000) < 5000
+    block = topk.Block(ids[asked], x[asked], 10)
+    tracemalloc.start()
+    block.offer(ids, x)
+    assert tracemalloc.get_traced_memory()[1] < 64 << 20  # 5000 x 6000 products alone would be 240 MB
+    tracemalloc.stop()
+    block.offer(ids[:100], x[:100])  # rows that come again count once
+    monkeypatch.setattr(topk, "PAIRS", 7)
+    small = topk.Block(ids[:9], x[:9], 10)
+    small.offer(ids[:300], x[:300])
+    for b, queries, n in ((block, (0, 17, 4999), 6000), (small, range(9), 300)):
+        query, vec, score = b.best()
+        for q in queries:
+            s = x[:n] @ x[q]
+            best = sorted((-int(s[i]), i) for i in range(n) if i != q)[:10]
+            assert [(-int(a), int(v)) for v, a in zip(vec[query == q], score[query == q])] == best
+
+
 # --- 9 personal data ------------------------------------------------------------------------------------------------
 
 
