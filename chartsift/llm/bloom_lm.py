@@ -283,9 +283,15 @@ def build(train: DataFrame, text_bytes: int, max_bytes: int = MAX_FILTER_BYTES,
 
 def asked_for(h: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a bucket's texts: different words, and different n-grams as the filter knows them with each token's place in these
-    and each neighbouring pair's, so that counts in their order can be laid out again."""
+    and each neighbouring pair's, so that counts in their order can be laid out again.
+
+    Tasks get a bucket's texts in any order, and what is asked by one is laid out by another: a pair across two texts
+    would depend on that order, so the end's own n-gram stands in its place (``log_probabilities`` doesn't read it).
+    """
     words, at = np.unique(h, return_inverse=True)
-    grams, places = np.unique(np.concatenate([word_hash(words), pair_hash(h[:-1], h[1:])]), return_inverse=True)
+    pairs = pair_hash(h[:-1], h[1:])
+    pairs[np.cumsum(lengths)[:-1] - 1] = word_hash(np.array([END]))
+    grams, places = np.unique(np.concatenate([word_hash(words), pairs]), return_inverse=True)
     return words, grams, np.concatenate([places[: len(words)][at], places[len(words) :]])
 
 

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,6 +215,16 @@ def test_filter_in_parts_scores_as_one_broadcast_does(spark):
     assert len(bloom_lm.build(train.select("text"), 1 << 20, 4096, 1000)[0].parts) > 1
 
 
+def test_bloom_lm_asks_the_same_for_texts_in_any_order():
+    texts = ["one two", "", "three one two", None, "four", "Five two"]
+    asked = []
+    for order in (texts, texts[::-1], texts[3:] + texts[:3]):
+        words, grams, places = bloom_lm.asked_for(*bloom_lm.hashed_tokens(pa.array(order)))
+        asked.append((words.tolist(), grams.tolist()))
+        assert len(places) == 2 * sum(len((t or "").split()) + 1 for t in texts) - 1
+    assert asked[0] == asked[1] == asked[2]
+
+
 def test_bloom_lm_score_is_near_a_model_with_quantised_exact_counts(spark):
     rnd = random.Random(6)
     rows = [(i, " ".join(prose(rnd, 120, 200))) for i in range(120)] + [(200, "x " * 400_000)]
