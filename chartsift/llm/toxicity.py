@@ -8,6 +8,8 @@ class it resembles. Calibrated thresholds on the gains of a text's windows give
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-#: Most labelled rows of each class that are learned from: the bound on what the driver gathers.
+#: Most labelled rows of each class that are learned from: the bound on what the task that fits gathers.
 SAMPLE = 3000
 #: ... and most bytes of text of each class; a text that would pass the bound is left out as a whole.
 SAMPLE_BYTES = 48 << 20
@@ -246,23 +248,30 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on at most ``sample`` labelled rows of each class, those whose hashed ``doc_id`` is smallest, whole texts.
 
     The ids are picked from the narrow ``labels`` first; the few picked ids are joined to the texts (``2 * sample`` rows
-    at most, so they are broadcast).
+    at most, so they are broadcast). One task fits on them, so that the driver gets no text, only the model.
     """
     rows = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("o"))
     picked = None
     for k in (0, 1):
         own = rows.where(F.col("toxic") == k).orderBy("o", "doc_id").limit(sample)
         picked = own if picked is None else picked.unionByName(own)
-    got = docs.select("doc_id", "text").join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id").orderBy("toxic", F.xxhash64("doc_id"), "doc_id").toLocalIterator()
     number = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    texts, own, used = [], [], [0, 0]
-    for r in got:
-        t = (r.text or "").lower().encode("utf-8", "surrogatepass")
-        if used[r.toxic] + len(t) <= SAMPLE_BYTES:
-            used[r.toxic] += len(t)
-            texts.append(t)
-            own.append(r.toxic)
-    return fit(texts, own, number[1] / (number[0] + number[1]) if len(number) == 2 else None)
+    share = number[1] / (number[0] + number[1]) if len(number) == 2 else None
+
+    def fitted(batches):
+        texts, own, used = [], [], [0, 0]
+        for batch in batches:
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+                t = (text or "").lower().encode("utf-8", "surrogatepass")
+                if used[toxic] + len(t) <= SAMPLE_BYTES:
+                    used[toxic] += len(t)
+                    texts.append(t)
+                    own.append(toxic)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, own, share))], pa.binary())], ["model"])
+
+    got = docs.select("doc_id", "text").join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id").repartition(1).sortWithinPartitions("toxic", F.xxhash64("doc_id"), "doc_id")
+    made = got.select("toxic", "text").mapInArrow(fitted, "model binary").collect()
+    return pickle.loads(made[0].model) if made else fit([], [], share)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:

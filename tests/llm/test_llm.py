@@ -90,6 +90,13 @@ def test_toxicity_with_one_class_or_no_labels(spark):
         assert [round(r.score, 6) for r in toxicity.score(docs.drop("score"), model).collect()] == [want, want]
 
 
+def test_toxicity_is_fitted_off_the_driver(spark, monkeypatch):
+    docs, labels = docs_of(spark, [(1, "a b"), (2, "c d")]), spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda texts, own, share=None: (os.getpid(), texts, own, share))
+    at, *given = toxicity.learn(docs, labels)
+    assert at != os.getpid() and given == [[b"a b", b"c d"], [0, 1], 0.5]
+
+
 def test_texts_with_one_header_all_teach():
     rnd = random.Random(12)
     header = b"the same header of this source opens each of its texts, long as it is: "
