@@ -6,6 +6,7 @@ axis or curve at a time, a few dozen points, through grouped Arrow batches.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 # Inlier and duplicate distances in pixels, the ratio that makes a log axis likely, pruning, decades.
 INLIER, DUPLICATE, LOG_RATIO = 15.0, 5.0, 10.0
 PRUNE_TIMES, PRUNE_LEAST, MIN_N, DECADES, LOG_BETTER = 4.0, 8.0, 3, 2.0, 1.2
+# Fixed value: triples of points that a task counts inliers for, some 600 bytes each.
+TRIPLES = 400_000
 
 
 def ols(rows: DataFrame, by: list[str], y: str, x: str) -> DataFrame:
@@ -143,9 +146,19 @@ def calibration(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
     return a.join(b, by)
 
 
-def ransac_sql(points: DataFrame, by: list[str]) -> DataFrame:
+def dealt(points: DataFrame, by: list[str], triples: int = TRIPLES) -> DataFrame:
+    """Whole groups of points in so many partitions that a task has about ``triples`` triples, however many groups there are; never
+    fewer partitions than the session's. The number is fixed, so that it isn't coalesced by the size of the points."""
+    n = F.col("n").cast("double")
+    total = points.groupBy(*by).agg(F.count("*").alias("n")).agg(F.sum(n * (n - 1) * (n - 2) / 6)).first()[0] or 0.0
+    least = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return points.repartition(max(least, math.ceil(total / triples)), *by)
+
+
+def ransac_sql(points: DataFrame, by: list[str], triples: int = TRIPLES) -> DataFrame:
     """Consensus without Python, for groups of a few points ``(i, x, y)``: all triples by a self-join, closed-form lines, inliers
-    counted, the first largest set wins: ``by + (i1, i2, i3, inliers)``."""
+    counted, the first largest set wins: ``by + (i1, i2, i3, inliers)``. A group's triples are counted in one task."""
+    points = dealt(points, by, triples)
     p1, p2, p3 = (points.select(*by, F.col("i").alias(f"i{k}"), F.col("x").alias(f"x{k}"), F.col("y").alias(f"y{k}")) for k in (1, 2, 3))
     t = p1.join(p2, by).where("i1 < i2").join(p3, by).where("i2 < i3")
     mx, my = (F.col("x1") + F.col("x2") + F.col("x3")) / 3, (F.col("y1") + F.col("y2") + F.col("y3")) / 3

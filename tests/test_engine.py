@@ -471,3 +471,12 @@ def test_routes_gates_and_twins(spark):
     items = "array<struct<score:double,ord:bigint,cells:array<bigint>,mean_y:double,x1:double,x2:double>>"
     d = spark.createDataFrame([(t, [(0.9, 1, [1, 2, 3], 0.0, 0.0, 9.0), (0.8, 2, [1, 2], 0.0, 0.0, 9.0), (0.7, 3, [8], 0.0, 0.0, 9.0)]) for t in ("zth_vs_time", "id_vs_vgs", None)], f"t string, items {items}")
     assert [(r.x.removed, len(r.x["items"])) for r in d.select(extract.without_twins(F.col("t"), F.col("items")).alias("x")).collect()] == [(1, 2), (0, 3), (0, 3)]
+
+
+def test_consensus_deals_groups_by_their_triples(spark):
+    p = spark.createDataFrame([(g, i, float(i), 3.0 * i + (200.0 if i == g % 7 else 0.0)) for g in range(60) for i in range(7)], "g int, i int, x double, y double")
+    tasks = [n for n in fit.dealt(p, ["g"], 70).rdd.mapPartitions(lambda rows: [len({r.g for r in rows})]).collect()]
+    assert len(tasks) == 30 and sum(tasks) == 60 and max(tasks) <= 10
+    assert fit.dealt(p.limit(0), ["g"], 70).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = [sorted(tuple(r) for r in fit.ransac_sql(p, ["g"], n).collect()) for n in (70, 10**9)]
+    assert found[0] == found[1] and [(r[0], r[4]) for r in found[0]] == [(g, 6) for g in range(60)]
