@@ -6,7 +6,6 @@ axis or curve at a time, a few dozen points, through grouped Arrow batches.
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
@@ -14,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import deal
+
 # Inlier and duplicate distances in pixels, the ratio that makes a log axis likely, pruning, decades.
 INLIER, DUPLICATE, LOG_RATIO = 15.0, 5.0, 10.0
 PRUNE_TIMES, PRUNE_LEAST, MIN_N, DECADES, LOG_BETTER = 4.0, 8.0, 3, 2.0, 1.2
@@ -147,12 +148,10 @@ def calibration(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
 
 
 def dealt(points: DataFrame, by: list[str], triples: int = TRIPLES) -> DataFrame:
-    """Whole groups of points in so many partitions that a task has about ``triples`` triples, however many groups there are; never
-    fewer partitions than the session's. The number is fixed, so that it isn't coalesced by the size of the points."""
+    """Whole groups of points in so many partitions that a task has about ``triples`` triples, however many groups there are."""
     n = F.col("n").cast("double")
     total = points.groupBy(*by).agg(F.count("*").alias("n")).agg(F.sum(n * (n - 1) * (n - 2) / 6)).first()[0] or 0.0
-    least = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return points.repartition(max(least, math.ceil(total / triples)), *by)
+    return points.repartition(deal.partitions(points.sparkSession, total, triples), *by)
 
 
 def ransac_sql(points: DataFrame, by: list[str], triples: int = TRIPLES) -> DataFrame:

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import deal
+
 # Weights of a caption and of axis titles by place, and the thresholds of a decision.
 CAPTION, AXIS_RIGHT, AXIS_UNKNOWN, AXIS_WRONG = 3.0, 2.5, 1.0, 0.5
 SCORE_LEAST, MARGIN_LEAST, MARGIN_DECISIVE = 5.0, 2.0, 7.0
+# Fixed value: lines whose hits one task sums.
+LINES = 100_000
 
 
 def figure_lines(figures: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,18 +37,21 @@ def complete_axes(figures: DataFrame, keys: list[str]) -> DataFrame:
     return figures.select(*keys, (has("x") & has("y")).alias("complete"))
 
 
-def score(lines: DataFrame, rules: DataFrame, keys: list[str], always: DataFrame | None = None) -> DataFrame:
+def score(lines: DataFrame, rules: DataFrame, keys: list[str], always: DataFrame | None = None, each: int = LINES) -> DataFrame:
     """``keys + (curve_type, score)``: each rule counts once for each figure, at the highest weight it reached.
 
     ``lines`` has the keys, ``source`` (caption, axis, phrase), ``zone`` (x, y or NULL) and ``text``; ``rules`` has
     ``curve_type, source, axis, keyword, weight`` (an axis rule's weight depends on the zone). A rule table is small (tens
-    of rows), so it is broadcast and every line meets every rule where it is; sums are partial before the one shuffle by
-    key. Rows of ``always`` (keys alone) get a score of 0 where nothing hit.
+    of rows), so it is broadcast and every line meets every rule where it is. Hits are dealt by key, those of about ``each``
+    lines to a task, before anything is summed: no two files share a figure's hits, so sums before the shuffle would only be
+    held. Rows of ``always`` (keys alone) get a score of 0 where nothing hit.
     """
-    own = rules.select("curve_type", F.col("source").alias("rule_source"), "axis", "keyword", "weight")
-    hit = lines.join(F.broadcast(own), (F.col("source") == F.col("rule_source")) & F.contains(F.lower("text"), F.lower("keyword")))
+    own = rules.select("curve_type", F.col("source").alias("rule_source"), "axis", "keyword", "weight", F.lower("keyword").alias("word"))
+    low = lines.select(*keys, "source", "zone", F.lower("text").alias("low"))
+    hit = low.join(F.broadcast(own), (F.col("source") == F.col("rule_source")) & F.contains("low", "word"))
     placed = F.when(F.col("zone").isNull(), AXIS_UNKNOWN).when(F.col("zone") == F.col("axis"), AXIS_RIGHT).otherwise(AXIS_WRONG)
     weighed = hit.withColumn("w", F.when(F.col("rule_source") == "axis", placed).otherwise(F.col("weight"))).withColumn("bad", F.col("w") < 0)
+    weighed = weighed.select(*keys, "curve_type", "rule_source", "axis", "bad", "keyword", "w").repartition(deal.partitions(lines.sparkSession, lines.count(), each), *keys)
     best = weighed.groupBy(*keys, "curve_type", "rule_source", "axis", "bad", "keyword").agg(F.max("w").alias("w"))
     total = best.groupBy(*keys, "curve_type").agg(F.sum("w").alias("score"))
     if always is None:

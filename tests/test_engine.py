@@ -480,3 +480,13 @@ def test_consensus_deals_groups_by_their_triples(spark):
     assert fit.dealt(p.limit(0), ["g"], 70).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = [sorted(tuple(r) for r in fit.ransac_sql(p, ["g"], n).collect()) for n in (70, 10**9)]
     assert found[0] == found[1] and [(r[0], r[4]) for r in found[0]] == [(g, 6) for g in range(60)]
+
+
+def test_scores_are_summed_in_tasks_of_so_many_lines(spark):
+    made = spark.createDataFrame(curve_types.rule_rows(), curve_types.RULE)
+    lines = spark.range(0, 3000, 1, 1).select("id", F.lit("caption").alias("source"), F.lit(None).cast("string").alias("zone"), F.when(F.col("id") % 2 == 0, "Typical Capacitance").otherwise("Transfer Characteristics").alias("text"))
+    df = rules.score(lines, made, ["id"], each=100)
+    above, below = df._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
+    assert df.rdd.getNumPartitions() == 30 and above.count("Exchange") == 1 and "Aggregate" in above and "Aggregate" not in below
+    rows = sorted(map(tuple, df.collect()))
+    assert len(rows) == 3000 and rows == sorted(map(tuple, rules.score(lines, made, ["id"]).collect()))
