@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import deal
+
 # Sides and their shares, families that always train, and what a side for evaluation needs.
 SIDES, RATIOS = ("train", "val", "test"), (0.70, 0.15, 0.15)
 PINNED = {"BSC-BSZ": "train"}
 MIN_FAMILIES, MIN_IMAGES = 2, 15
+# Fixed value: rows that one task numbers.
+NUMBERED = 500_000
 
 
 def inventory(rows: DataFrame) -> DataFrame:
@@ -74,14 +78,27 @@ def semi_split(rows: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return rows.join(members.select(key).distinct(), key, "left_semi")
 
 
-def renumber(parts: list[DataFrame], order: list[str], new: str = "new_id") -> DataFrame:
-    """Parts put one after the other with ids from 1 in that order. The numbering is global, so keys alone should go
-    through it and be joined back where rows are wide."""
+def renumber(parts: list[DataFrame], order: list[str], new: str = "new_id", each: int = NUMBERED) -> DataFrame:
+    """Parts put one after the other with ids from 1 in that order."""
     out = None
     for i, p in enumerate(parts):
         own = p.withColumn("part", F.lit(i))
         out = own if out is None else out.unionByName(own)
-    return out.withColumn(new, F.row_number().over(W.orderBy("part", *order)))
+    return numbered(out, ["part", *order], [], new, each)
+
+
+def numbered(rows: DataFrame, lead: list[str], then: list[Column], new: str, each: int = NUMBERED, some: DataFrame | None = None) -> DataFrame:
+    """``rows`` with numbers from 1 by ``lead`` and ``then``. A task numbers a range of ``lead`` of about ``each`` rows, after as many as
+    the ranges before it have. Ranges begin where a sample of the rows says (``some``, or one is taken); that decides how large
+    they are, never the numbers."""
+    edges = deal.edges(deal.sample(rows, each) if some is None else some, lead, each)
+    if not edges:
+        return rows.withColumn(new, F.row_number().over(W.orderBy(*lead, *then)))
+    ranged = rows.withColumn("range", deal.place(rows, lead, edges))
+    before = ranged.groupBy("range").agg(F.count("*").alias("n"))
+    before = before.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before"))
+    inside = ranged.repartition(deal.partitions(rows.sparkSession, 2 * len(edges) + 2, 1), "range").withColumn("at", F.row_number().over(W.partitionBy("range").orderBy(*lead, *then)))
+    return inside.join(F.broadcast(before), "range").withColumn(new, F.col("before") + F.col("at")).drop("range", "before", "at")
 
 
 def digest(rows: DataFrame) -> tuple:
@@ -91,30 +108,32 @@ def digest(rows: DataFrame) -> tuple:
     return out.n, out.x, out.s
 
 
-def merge_batch(sides: dict[str, tuple[DataFrame, DataFrame]], images: DataFrame, annotations: DataFrame, count: int | None = None, target: int | None = None) -> dict[str, tuple[DataFrame, DataFrame]]:
+def merge_batch(sides: dict[str, tuple[DataFrame, DataFrame]], images: DataFrame, annotations: DataFrame, count: int | None = None, target: int | None = None, each: int = NUMBERED) -> dict[str, tuple[DataFrame, DataFrame]]:
     """A new batch added to the sides train and val, whole families at a time (``smallest_first``); test comes back as it was.
 
     ``sides``: side to (images ``id, ...``, annotations ``id, image_id, ...``) of the same columns as the batch, whose images have
     ``family`` besides. Ids start anew at 1, the old part first, each by its old id; an annotation without image goes.
-    Ids of images are distinct within a part; annotations that repeat one go by image and content. Only ids are numbered in one place, rows follow by a join. An empty batch leaves the rows as they are, numbered anew.
+    Ids of images are distinct within a part; annotations that repeat one go by image and content, those without an id come last.
+    Numbers are given range by range (``numbered``, about ``each`` rows to a task). An empty batch leaves the rows as they are, numbered anew.
     """
     sizes = images.groupBy("family").agg(F.count("*").alias("images"))
     side = smallest_first(sizes, "family", "images", count, target).select("family", "side")
     dealt = images.join(side, "family")
-    out = {"test": sides["test"]}
+    out, lead = {"test": sides["test"]}, ["part", "lost", "id"]
     for name in ("train", "val"):
         old, old_notes = sides[name]
         new = dealt.where(F.col("side") == name)
-        both = old.withColumn("part", F.lit(0)).unionByName(new.select(*old.columns).withColumn("part", F.lit(1)))
-        notes = old_notes.withColumn("part", F.lit(0)).unionByName(annotations.select(*old_notes.columns).withColumn("part", F.lit(1)))
-        ids = renumber([both.where("part = 0").select("id"), both.where("part = 1").select("id")], ["id"])
-        held = notes.join(ids.select("part", F.col("id").alias("image_id"), F.col("new_id").alias("new_image")), ["part", "image_id"])
+        lost = F.col("id").isNull().alias("lost")
+        both = old.select("*", F.lit(0).alias("part"), lost).unionByName(new.select(*old.columns, F.lit(1).alias("part"), lost))
+        notes = old_notes.select("*", F.lit(0).alias("part"), lost).unionByName(annotations.select(*old_notes.columns, F.lit(1).alias("part"), lost))
+        held_by = both.select("part", F.col("id").alias("image_id"))
+        kept = numbered(both, lead, [], "new_id", each)
+        held = notes.join(kept.select("part", F.col("id").alias("image_id"), F.col("new_id").alias("new_image")), ["part", "image_id"])
         rest = [c for c in old_notes.columns if c not in ("id", "image_id")]
-        held = held.withColumn("twin", F.row_number().over(W.partitionBy("part", "id").orderBy("new_image", *rest)))
-        own = renumber([held.where(F.col("part") == p).select("id", "twin") for p in (0, 1)], ["id", "twin"])
-        kept = both.join(ids, ["part", "id"]).select(F.col("new_id").alias("id"), *[c for c in old.columns if c != "id"])
-        said = held.join(own, ["part", "id", "twin"]).select(F.col("new_id").alias("id"), F.col("new_image").alias("image_id"), *rest)
-        out[name] = (kept, said)
+        # a sample of what is held: the join takes or leaves a note, so the sample is taken before it
+        some = deal.sample(notes.select(*lead, "image_id"), each).join(held_by, ["part", "image_id"]).select(*lead)
+        said = numbered(held, lead, [F.col("new_image"), *[F.asc_nulls_last(c) for c in rest]], "number", each, some)
+        out[name] = (kept.select(F.col("new_id").alias("id"), *[c for c in old.columns if c != "id"]), said.select(F.col("number").alias("id"), F.col("new_image").alias("image_id"), *rest))
     return out
 
 

@@ -490,3 +490,27 @@ def test_scores_are_summed_in_tasks_of_so_many_lines(spark):
     assert df.rdd.getNumPartitions() == 30 and above.count("Exchange") == 1 and "Aggregate" in above and "Aggregate" not in below
     rows = sorted(map(tuple, df.collect()))
     assert len(rows) == 3000 and rows == sorted(map(tuple, rules.score(lines, made, ["id"]).collect()))
+
+
+def test_numbers_are_given_range_by_range(spark):
+    draw = random.Random(3)
+    rows = [(draw.choice([None, *range(40)]), draw.choice("abc"), i) for i in range(500)]
+    parts = [spark.createDataFrame(rows[:200], "a int, b string, c int"), spark.createDataFrame(rows[200:], "a int, b string, c int")]
+    df = splits.renumber(parts, ["a", "b", "c"], each=10)
+    want = sorted([(0, *r) for r in rows[:200]] + [(1, *r) for r in rows[200:]], key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2], r[3]))
+    assert [(r.part, r.a, r.b, r.c) for r in sorted(df.collect(), key=lambda r: r.new_id)] == want and sorted(r.new_id for r in df.collect()) == list(range(1, 501))
+    assert max(df.select("new_id").rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()) < 100
+    assert all(r.new_id == i + 1 for i, r in enumerate(splits.renumber(parts, ["c"]).orderBy("part", "c").collect()))
+
+
+def test_batches_are_merged_range_by_range_with_equal_numbers(spark):
+    img = lambda ids: spark.createDataFrame([(i, f"f{i}") for i in ids], "id int, file string")
+    notes = spark.createDataFrame([(None if i % 11 == 0 else i % 37, i % 60, f"n{i % 5}") for i in range(300)], "id int, image_id int, label string")
+    new = spark.createDataFrame([(i, f"f{i}", f"F{i % 4}") for i in range(40, 58)], "id int, file string, family string")
+    sides = {"train": (img(range(0, 30)), notes), "val": (img(range(30, 40)), notes), "test": (img([1]), notes)}
+    some, whole = (splits.merge_batch(sides, new, notes, count=2, each=n) for n in (7, 10**6))
+    for side, size in (("train", 200), ("val", 90)):
+        for kind in (0, 1):
+            rows = sorted(map(tuple, some[side][kind].collect()))
+            assert rows == sorted(map(tuple, whole[side][kind].collect())) and [r[0] for r in rows] == list(range(1, len(rows) + 1))
+        assert len(rows) == size
