@@ -6,6 +6,8 @@ ingest is one narrow projection.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 EMPTY = ("", "-", "N/A", "n/a", "null", "None")
 NUMBER = r"([+-]?\d+\.?\d*)"
 _FLOAT = r"^[+-]?(\d+(_\d+)*\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_PLAIN = r"^(\d+\.?\d*|\.\d+)$"  # asked before a cast of what may be no number, which would cost an exception a row
 
 # Target unit -> source unit -> factor.
 UNIT_FACTORS = {
@@ -31,10 +34,15 @@ UNIT_FACTORS = {
 }
 
 
+def _once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` computed once a row, however often it is used: an expression that stands in several branches is computed
+    in each."""
+    return F.get(F.transform(F.array(c), use), 0)
+
+
 def as_double(c: Column) -> Column:
     """A float literal as a double; anything else, infinities and NaN included, is NULL."""
-    t = F.trim(c)
-    return F.when(t.rlike(_FLOAT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+    return _once(F.trim(c), lambda t: F.when(t.rlike(_FLOAT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double")))
 
 
 def cell(c: Column) -> Column:
@@ -51,7 +59,26 @@ def clean_string(c: Column) -> Column:
 
 def _first(c: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match as a double, NULL without a match."""
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit("")).try_cast("double")
+    return _once(F.regexp_extract(c, pattern, group), lambda m: F.when(m != "", m.try_cast("double")))
+
+
+def _scaled(s: Column, symbol: str, factors: dict[str, Callable[[Column], Column]], otherwise: Callable[[Column], Column] | None = None) -> Column:
+    """The number that ``s`` begins with, by what the letter before the unit's ``symbol`` says (``""``: no letter); one search finds
+    number and unit, since a number can be followed by one unit only."""
+    letters = "".join(factors)
+    unit = f"[{letters}]{'?' if '' in factors else ''}{symbol}"
+
+    def value(m: Column) -> Column:
+        number, letter, out = F.rtrim(m, F.lit(f"{letters}{symbol} \t\n\x0b\f\r")).try_cast("double"), F.substring(m, -2, 1), F
+        for x, scale in factors.items():
+            if x:
+                out = out.when(letter == x, scale(number))
+        return out.otherwise(factors[""](number)) if "" in factors else out
+
+    def found(s: Column) -> Column:
+        return _once(F.regexp_extract(s, "^" + NUMBER + r"\s*" + unit, 0), lambda m: F.when(m != "", value(m)) if otherwise is None else F.when(m != "", value(m)).otherwise(otherwise(s)))
+
+    return _once(s, found)
 
 
 def numeric(c: Column) -> Column:
@@ -60,14 +87,10 @@ def numeric(c: Column) -> Column:
     return as_double(F.replace(F.substring_index(F.substring_index(s, "~", 1), "@", 1), F.lit(","), F.lit("")))
 
 
-def _united(s: Column, *steps: tuple[str, float]) -> Column:
-    """The first unit that follows the leading number decides its factor."""
-    return F.coalesce(*[_first(s, "^" + flags_pattern) * F.lit(factor) for flags_pattern, factor in steps])
-
-
 def voltage(c: Column) -> Column:
-    s = F.trim(F.regexp_replace(cell(c), "^±+", ""))
-    return F.coalesce(_united(s, (NUMBER + r"\s*[kK]V", 1000.0)), _first(s, "^" + NUMBER + r"\s*mV") / 1000.0, _first(s, "^" + NUMBER + r"\s*V"), numeric(s))
+    s = F.trim(F.ltrim(cell(c), F.lit("±")))
+    kilo = lambda n: n * 1000.0
+    return _scaled(s, "V", {"k": kilo, "K": kilo, "m": lambda n: n / 1000.0, "": lambda n: n}, numeric)
 
 
 def _ta_first(c: Column, unit: str) -> Column:
@@ -96,18 +119,22 @@ def power(c: Column) -> Column:
 def rdson_mohm(c: Column) -> Column:
     """Micro, milli and plain ohm anywhere in the cell, in this order; a bare number is milliohm already. Text such as
     ``.. mOhm`` is NULL, not an error."""
-    s, ohm = cell(c), "[OΩ℧WQ]"
-    micro, milli, plain = (rf"(?iu)([\d.]+)\s*{u}{ohm}" for u in ("[uµ]", "m", ""))
-    return F.when(s.rlike(micro), _first(s, micro) / 1000.0).when(s.rlike(milli), _first(s, milli)).when(s.rlike(plain), _first(s, plain) * 1000.0).otherwise(numeric(s))
+    micro, milli, plain = (rf"(?iu)([\d.]+)\s*{u}[OΩ℧WQ]" for u in ("[uµ]", "m", ""))
+
+    def first(s: Column, pattern: str, scale: Callable[[Column], Column], otherwise: Callable[[Column], Column]) -> Column:
+        return _once(F.regexp_extract(s, pattern, 1), lambda m: F.when(m != "", F.when(m.rlike(_PLAIN), scale(m.try_cast("double")))).otherwise(otherwise(s)))
+
+    return _once(cell(c), lambda s: first(s, micro, lambda n: n / 1000.0, lambda s: first(s, milli, lambda n: n, lambda s: first(s, plain, lambda n: n * 1000.0, numeric))))
 
 
 def capacitance(c: Column) -> Column:
-    return _united(cell(c), (NUMBER + r"\s*nF", 1000.0), (NUMBER + r"\s*[uµ]F", 1e6), (NUMBER + r"\s*pF", 1.0))
+    million = lambda n: n * 1e6
+    return _scaled(cell(c), "F", {"n": lambda n: n * 1000.0, "u": million, "µ": million, "p": lambda n: n * 1.0})
 
 
 def charge(c: Column) -> Column:
-    s = cell(c)
-    return F.coalesce(_first(s, "^" + NUMBER + r"\s*nC"), _united(s, (NUMBER + r"\s*[uµ]C", 1000.0)), _first(s, "^" + NUMBER + r"\s*pC") / 1000.0)
+    thousand = lambda n: n * 1000.0
+    return _scaled(cell(c), "C", {"n": lambda n: n, "u": thousand, "µ": thousand, "p": lambda n: n / 1000.0})
 
 
 def energy(c: Column) -> Column:
@@ -125,7 +152,7 @@ def thermal_resistance(c: Column) -> Column:
 
 
 def price(c: Column) -> Column:
-    return as_double(F.replace(F.regexp_replace(cell(c), r"^\$+", ""), F.lit(","), F.lit("")))
+    return as_double(F.replace(F.ltrim(cell(c), F.lit("$")), F.lit(","), F.lit("")))
 
 
 def temperature_range(c: Column) -> Column:

@@ -514,3 +514,12 @@ def test_batches_are_merged_range_by_range_with_equal_numbers(spark):
             rows = sorted(map(tuple, some[side][kind].collect()))
             assert rows == sorted(map(tuple, whole[side][kind].collect())) and [r[0] for r in rows] == list(range(1, len(rows) + 1))
         assert len(rows) == size
+
+
+def test_cells_are_searched_once(spark):
+    """One search finds number and unit; ohms are searched by their three sizes in turn."""
+    df = spark.createDataFrame([("1.2 kV",)], "c string")
+    for f, n in ((parsing.voltage, 1), (parsing.rdson_mohm, 3), (parsing.capacitance, 1), (parsing.charge, 1), (parsing.price, 0)):
+        assert df.select(f(F.col("c")).alias("x"))._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == n, f
+    assert column(spark, parsing.voltage, ["±±3.kV", "7\tmV", "7 mmV", "8 V\n"]) == [3000.0, 0.007, 7.0, 8.0]
+    assert column(spark, parsing.rdson_mohm, ["1.2.3 mOhm", "3 Ohm 2 mΩ", ". W"]) == [None, 2.0, None] and column(spark, parsing.capacitance, ["2 kF", "3 µF"]) == [None, 3e6]
