@@ -35,4 +35,5 @@ def place(rows: DataFrame, lead: list[str], begins: list) -> Column:
     known = F.array(*[F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(lead, row)]) for row in begins])
     own = F.struct(*lead)
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(begins).bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= len(begins)) & (F.get(known, at + step - 1) <= own), at + step).otherwise(at))
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= len(begins)) & (F.get(known, at + step - 1) <= own), at + step).otherwise(at))
+    return F.coalesce(found, F.lit(0))  # never NULL, and known to be: else a join asks every row for it where rows are read
